@@ -8,3 +8,4 @@ from .dates import (  # noqa: F401
 )
 from .measures import gross_revenue, is_current, ratio  # noqa: F401
 from .text import clean_phone, coalesce_empty, full_name, md5_key, surrogate_key  # noqa: F401
+from .types import struct  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -53,7 +53,7 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column}{target}"
 
 
-def quality_report(spark: SparkSession, tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+def quality_report(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: name, number of failures, status.
 
     Unique and not-null checks of one column share a single pass over that column.

@@ -6,6 +6,8 @@ any name is joined, so the joins see one row per order and not one per line.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from sparkmart.functions import ratio, to_day
 from sparkmart.operators import lookup
 from sparkmart.operators.calendar import DAY
 
-Marts = dict[str, DataFrame]
+Marts = Mapping[str, DataFrame]
 
 MONEY = "decimal(38,2)"
 

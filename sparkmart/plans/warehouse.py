@@ -17,6 +17,7 @@ Deliberate choices where the source system's own build is vague or unsafe:
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from sparkmart.operators import Check, merge_by_key, quality_report, scd2_apply, scd2_step
 from sparkmart.operators.scd2 import VALID_TO
 from sparkmart.session import read_if_exists
-from sparkmart.sources.schemas import ENTITIES
 from sparkmart.sources.tables import append_batch, materialize, read_log, sources
 
 from . import dimensions as dims
@@ -62,49 +62,64 @@ MONTH = "created_month"
 RUN, STATE = "run", "state"
 
 
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {entity: model(raw[entity]) for entity, model in STAGING.items()}
-
-
-def build_dimensions(
-    spark: SparkSession, staged: dict[str, DataFrame], histories: dict[str, DataFrame],
-) -> dict[str, DataFrame]:
-    return {
-        "dim_customers": dims.dim_customers(histories["customers"]),
-        "dim_products": dims.dim_products(histories["products"]),
-        "dim_stores": dims.dim_stores(staged["stores"]),
-        "dim_employees": dims.dim_employees(staged["employees"]),
-        "dim_payment_method": dims.dim_payment_method(staged["payment_methods"]),
-        "dim_date": dims.dim_date(spark),
-    }
-
-
-def build_facts(
-    raw: dict[str, DataFrame], staged: dict[str, DataFrame], marts: dict[str, DataFrame],
-) -> dict[str, DataFrame]:
-    customers, stores = marts["dim_customers"], marts["dim_stores"]
-    orders, payments = staged["orders"], staged["payments"]
-    return {
-        "fct_sales": facts.fct_sales(
-            staged["order_items"], orders, customers, marts["dim_products"], stores, marts["dim_employees"],
-        ),
-        "fct_payments": facts.fct_payments(payments, orders, customers, stores, marts["dim_payment_method"]),
-        "flagged_payments": facts.flagged_payments(payments),
-        "fct_inventory_daily": facts.fct_inventory_daily(raw["inventory_movements"]),
-        "fct_order_lifecycle": facts.fct_order_lifecycle(orders),
-    }
+class Models(Mapping[str, DataFrame]):
+    """All models over the raw tables by name, each built when first asked for.
 
+    ``histories`` gives the snapshot history per entity; without it each key has the one
+    version a first snapshot run would give it.  ``replaced`` holds models to use in
+    place of those built here, such as tables already written.
+    """
 
-def build_marts(
-    spark: SparkSession, raw: dict[str, DataFrame], histories: dict[str, DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """All dimensions and facts as lazy tables; without ``histories`` each key has the
-    one version a first snapshot run would give it."""
-    staged = stage_all(raw)
-    if histories is None:
-        histories = {e: scd2_apply(None, staged[e], key) for e, key in SNAPSHOTS.items()}
-    marts = build_dimensions(spark, staged, histories)
-    return marts | build_facts(raw, staged, marts)
+    def __init__(
+        self, spark: SparkSession, raw: Mapping[str, DataFrame],
+        histories: Mapping[str, DataFrame] | None = None, replaced: Mapping[str, DataFrame] | None = None,
+    ) -> None:
+        self.spark, self.raw, self.histories = spark, raw, histories
+        self.built = dict(replaced or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            self.built[name] = MODELS[name](self)
+        return self.built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MODELS)
+
+    def __len__(self) -> int:
+        return len(MODELS)
+
+    def take(self, *names: str) -> list[DataFrame]:
+        return [self[name] for name in names]
+
+    def history(self, entity: str) -> DataFrame:
+        if self.histories is not None:
+            return self.histories[entity]
+        return scd2_apply(None, self[f"stg_{entity}"], SNAPSHOTS[entity])
+
+
+def _staged(entity: str) -> Callable[[Models], DataFrame]:
+    return lambda m: STAGING[entity](m.raw[entity])
+
+
+#: Model name -> how it follows from the raw tables and other models.
+MODELS: dict[str, Callable[[Models], DataFrame]] = {
+    **{f"stg_{entity}": _staged(entity) for entity in STAGING},
+    "dim_customers": lambda m: dims.dim_customers(m.history("customers")),
+    "dim_products": lambda m: dims.dim_products(m.history("products")),
+    "dim_stores": lambda m: dims.dim_stores(m["stg_stores"]),
+    "dim_employees": lambda m: dims.dim_employees(m["stg_employees"]),
+    "dim_payment_method": lambda m: dims.dim_payment_method(m["stg_payment_methods"]),
+    "dim_date": lambda m: dims.dim_date(m.spark),
+    "fct_sales": lambda m: facts.fct_sales(*m.take(
+        "stg_order_items", "stg_orders", "dim_customers", "dim_products", "dim_stores", "dim_employees")),
+    "fct_payments": lambda m: facts.fct_payments(*m.take(
+        "stg_payments", "stg_orders", "dim_customers", "dim_stores", "dim_payment_method")),
+    "flagged_payments": lambda m: facts.flagged_payments(m["stg_payments"]),
+    "fct_inventory_daily": lambda m: facts.fct_inventory_daily(m.raw["inventory_movements"]),
+    "fct_order_lifecycle": lambda m: facts.fct_order_lifecycle(m["stg_orders"]),
+}
+#: Models that are written; all others are views.
+TABLES = ("fct_sales", "fct_payments")
 
 
 def last_run(spark: SparkSession, state_dir: str) -> int:
@@ -165,27 +180,24 @@ def run_pipeline(
     merged = _load(spark, src_dir, state_dir, run)
     raw = merged if read_from == "merged" else sources(spark, src_dir)
 
-    staged = stage_all(raw)
-    histories = {e: snapshot_run(spark, state_dir, e, staged[e], run) for e in SNAPSHOTS}
+    staged = Models(spark, raw)
+    histories = {e: snapshot_run(spark, state_dir, e, staged[f"stg_{e}"], run) for e in SNAPSHOTS}
 
-    marts = build_dimensions(spark, staged, histories)
-    marts |= build_facts(raw, staged, marts)
-    for name, df in marts.items():
-        if name in ("fct_sales", "fct_payments"):
-            month = F.year("created_at") * 100 + F.month("created_at")
-            marts[name] = materialize(
-                df.withColumn(MONTH, month), name, "table", f"{out_dir}/{RUN}={run}/{name}", MONTH,
-            )
-        else:
-            materialize(df, name)
+    models = Models(spark, raw, histories)
+    month = F.year("created_at") * 100 + F.month("created_at")
+    written = {
+        name: materialize(models[name].withColumn(MONTH, month), name, "table", f"{out_dir}/{RUN}={run}/{name}", MONTH)
+        for name in TABLES
+    }
+    models = Models(spark, raw, histories, written)
+    for name in models:
+        if name not in TABLES:
+            materialize(models[name], name)
 
     path = f"{out_dir}/{RUN}={run}/quality"
-    quality_report(spark, marts, CHECKS).write.mode("overwrite").parquet(path)
+    quality_report(spark, models, CHECKS).write.mode("overwrite").parquet(path)
     finished = spark.range(1).select(
         F.lit(run).alias(RUN), F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp").alias("finished_at"),
     )
     append_batch(finished, f"{state_dir}/runs", run)
     return spark.read.parquet(path)
-
-
-__all__ = ["CHECKS", "ENTITIES", "build_marts", "last_run", "run_pipeline"]

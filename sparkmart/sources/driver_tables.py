@@ -6,6 +6,8 @@ their oracles start from the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,27 +164,55 @@ def project(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(e).alias(name) for name, e in expressions.items()])
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All nine entities; customers and products as of their first batch."""
-    def read(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
+class _RawTables(Mapping[str, DataFrame]):
+    """The nine entities by name, each derived when asked for."""
 
-    shipped = read("lineitem").groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
-    )
-    orders = read("orders").join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return {
-        "customers": project(read("customer"), CUSTOMERS),
-        "products": project(read("part"), PRODUCTS),
-        "stores": project(nations, STORES),
-        "employees": project(read("supplier"), EMPLOYEES),
-        "orders": project(orders, ORDERS),
-        "order_items": project(read("lineitem"), ORDER_ITEMS),
-        "payments": project(read("events").filter(PAYMENT_EVENTS), PAYMENTS),
-        "payment_methods": project(read("region"), PAYMENT_METHODS),
-        "inventory_movements": project(read("lineitem"), INVENTORY_MOVEMENTS),
-    }
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+    def _shipped_orders(self) -> DataFrame:
+        shipped = self._read("lineitem").groupBy("l_orderkey").agg(
+            F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
+        )
+        return self._read("orders").join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+    def _nations(self) -> DataFrame:
+        return self._read("nation").join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+
+    def __getitem__(self, entity: str) -> DataFrame:
+        rows, expressions = _ENTITIES[entity]
+        return project(rows(self), expressions)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_ENTITIES)
+
+    def __len__(self) -> int:
+        return len(_ENTITIES)
+
+
+def _rows(name: str) -> Callable[[_RawTables], DataFrame]:
+    return lambda tables: tables._read(name)
+
+
+_ENTITIES: dict[str, tuple[Callable[[_RawTables], DataFrame], dict[str, str]]] = {
+    "customers": (_rows("customer"), CUSTOMERS),
+    "products": (_rows("part"), PRODUCTS),
+    "stores": (_RawTables._nations, STORES),
+    "employees": (_rows("supplier"), EMPLOYEES),
+    "orders": (_RawTables._shipped_orders, ORDERS),
+    "order_items": (_rows("lineitem"), ORDER_ITEMS),
+    "payments": (lambda tables: tables._read("events").filter(PAYMENT_EVENTS), PAYMENTS),
+    "payment_methods": (_rows("region"), PAYMENT_METHODS),
+    "inventory_movements": (_rows("lineitem"), INVENTORY_MOVEMENTS),
+}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """All nine entities; customers and products as of their first batch."""
+    return _RawTables(spark, sf_dir)
 
 
 def second_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

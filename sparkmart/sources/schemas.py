@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from sparkmart.functions import struct
 
 # Entity names, column names and types of the source system.
 _DDL = {
@@ -51,4 +51,4 @@ _DDL = {
 }
 
 ENTITIES = tuple(_DDL)
-RAW_SCHEMAS = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+RAW_SCHEMAS = {name: struct(ddl) for name, ddl in _DDL.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkmart.sources.pages import read_pages, rows_of, unwrap_pages
+from sparkmart.sources.pages import number_pages, read_page_stream, rows_of, unwrap_pages
 from sparkmart.sources.tables import append_batch
 
 
@@ -21,11 +21,10 @@ def stream_ingest(
     replayed after a failure replaces itself and nothing is counted twice.
     """
     def write(batch: DataFrame, number: int) -> None:
-        append_batch(batch, table_dir, number)
+        append_batch(rows_of(unwrap_pages(number_pages(batch)), schema), table_dir, number)
 
-    pages = read_pages(spark, in_dir, stream=True, max_files=max_files)
     return (
-        rows_of(unwrap_pages(pages), schema)
+        read_page_stream(spark, in_dir, max_files)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
