@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +31,11 @@ def dedup_latest(
             f.name for f in df.schema.fields
             if f.name not in keys and f.name != order_col and not isinstance(f.dataType, _UNORDERED)
         ]
-    order = [F.desc_nulls_first(order_col)] if order_col else []
-    order += [F.desc_nulls_last(c) for c in ties]
-    window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    order = [f"`{order_col}` desc nulls first"] if order_col else []
+    order += [f"`{c}` desc nulls last" for c in ties]
+    partition = ", ".join(f"`{k}`" for k in keys)
+    rank = f"row_number() over (partition by {partition} order by {', '.join(order or ['1'])})"
+    return df.withColumn(_RANK, F.expr(rank)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def filter_positive(df: DataFrame, amount: str) -> DataFrame:

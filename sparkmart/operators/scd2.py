@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions import surrogate_key
@@ -59,24 +59,25 @@ def scd2_step(
     types = {f.name: f.dataType for f in new.schema.fields} | {
         f.name: f.dataType for f in open_rows.schema.fields
     }
-    o, n = open_rows.alias("o"), new.alias("n")
-
-    known, arrived = F.col(f"o.{SCD_ID}").isNotNull(), F.col(f"n.{SCD_ID}").isNotNull()
-    newer = known & arrived & (F.col(f"o.{VALID_FROM}") < F.col(f"n.{updated_at}"))
-
-    def version(side: str, have: list[str], emit: Column, **replaced: Column) -> Column:
-        return F.struct(F.coalesce(emit, F.lit(False)).alias(_OUT), *[
-            replaced.get(c, F.col(f"{side}.{c}") if c in have else F.lit(None)).cast(types[c]).alias(c)
+    # Both versions of a joined pair as structs; _out tells which of them exist.
+    newer = f"o.{VALID_FROM} < n.`{updated_at}`"
+    ended = f"if({newer}, n.`{updated_at}`, o.{VALID_TO})"
+
+    def fields(side: str, have: list[str]) -> list[str]:
+        return [
+            f"cast({ended if side == 'o' and c == VALID_TO else f'{side}.`{c}`' if c in have else 'null'} "
+            f"as {types[c].simpleString()}) as `{c}`"
             for c in columns
-        ])
+        ]
 
-    ends = F.when(newer, F.col(f"n.{updated_at}")).otherwise(F.col(f"o.{VALID_TO}"))
-    pair = F.array(
-        version("o", open_rows.columns, known, **{VALID_TO: ends}),
-        version("n", new.columns, arrived & (~known | newer)),
-    )
+    known = f"o.{SCD_ID} is not null as {_OUT}"
+    arrived = f"n.{SCD_ID} is not null and (o.{SCD_ID} is null or coalesce({newer}, false)) as {_OUT}"
+    old_version = f"struct({', '.join([known, *fields('o', open_rows.columns)])})"
+    new_version = f"struct({', '.join([arrived, *fields('n', new.columns)])})"
+
+    o, n = open_rows.alias("o"), new.alias("n")
     joined = o.join(n, F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")), "full_outer")
-    return joined.select(F.inline(pair)).filter(_OUT).drop(_OUT)
+    return joined.selectExpr(f"inline(array({old_version}, {new_version}))").filter(_OUT).drop(_OUT)
 
 
 def scd2_apply(

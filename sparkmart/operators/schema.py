@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +21,15 @@ def conform_columns(df: DataFrame, schema: T.StructType, strict: bool = False) -
     have = {f.name: f.dataType for f in df.schema.fields}
     if strict and (missing := [f.name for f in schema.fields if f.name not in have]):
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*[
-        (cast_to(f"`{f.name}`", have[f.name], f.dataType) if f.name in have
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
+    return df.select(*[_conformed(f, have.get(f.name)) for f in schema.fields])
+
+
+def _conformed(field: T.StructField, source: T.DataType | None) -> Column:
+    if source == field.dataType:
+        return F.col(f"`{field.name}`")
+    if source is None:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    return cast_to(f"`{field.name}`", source, field.dataType).alias(field.name)
 
 
 def serialize_nested(df: DataFrame) -> DataFrame:

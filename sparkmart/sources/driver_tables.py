@@ -7,6 +7,7 @@ their oracles start from the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,12 +157,13 @@ INVENTORY_MOVEMENTS = {
 }
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def project(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(e).alias(name) for name, e in expressions.items()])
+    return df.selectExpr(*[f"{e} as {name}" for name, e in expressions.items()])
 
 
 class _RawTables(Mapping[str, DataFrame]):
