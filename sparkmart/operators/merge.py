@@ -17,7 +17,7 @@ from .dedup import dedup_latest
 PAGE, POSITION = "_page", "_pos"
 
 
-def _require_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def require_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A row without a key fails the batch, as a primary key would."""
     return df.withColumns({
         k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(df.schema[k].dataType))
@@ -28,7 +28,7 @@ def _require_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def last_written(batch: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """The row written last for each key, in the order of the ``seq`` columns."""
     order = [c for c in seq if c in batch.columns]
-    rows = _require_key(batch, keys)
+    rows = require_key(batch, keys)
     if not order:
         return dedup_latest(rows, keys, None)
     others = [c for c in rows.columns if c not in order and c not in keys]
@@ -66,7 +66,7 @@ def merge_by_key(
     Rows absent from the batch stay.  ``dedup_sort`` names the column whose largest
     value wins where the batch has a key more than once.
     """
-    latest = dedup_latest(_require_key(batch, keys), list(keys), dedup_sort)
+    latest = dedup_latest(require_key(batch, keys), list(keys), dedup_sort)
     return latest if target is None else _replace(target, batch, latest, list(keys))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkmart.sources.pages import number_pages, read_page_stream, rows_of, unwrap_pages
+from sparkmart.operators.merge import require_key
+from sparkmart.sources.pages import KEY, number_pages, read_page_stream, rows_of, unwrap_pages
 from sparkmart.sources.tables import append_batch
 
 
@@ -21,7 +22,8 @@ def stream_ingest(
     replayed after a failure replaces itself and nothing is counted twice.
     """
     def write(batch: DataFrame, number: int) -> None:
-        append_batch(rows_of(unwrap_pages(number_pages(batch)), schema), table_dir, number)
+        rows = rows_of(unwrap_pages(number_pages(batch)), schema)
+        append_batch(require_key(rows, [KEY]), table_dir, number)
 
     return (
         read_page_stream(spark, in_dir, max_files)

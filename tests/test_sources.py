@@ -1,0 +1,263 @@
+import json
+from datetime import datetime, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import ts, tuples
+from sparkmart import functions as fn
+from sparkmart.functions.casts import NUMERIC
+from sparkmart.operators.merge import PAGE
+from sparkmart.sources import pages as pg
+from sparkmart.sources import tables as tb
+from sparkmart.sources import watermark as wm
+from sparkmart.sources.extract import ExtractState, current_marks, extract_all, extract_entity
+from sparkmart.sources.jdbc import jdbc_options
+from sparkmart.sources.schemas import ENTITIES, RAW_SCHEMAS
+
+IDS = T.StructType([T.StructField("id", T.StringType())])
+
+
+def pages(spark, *values):
+    texts = [(n, v if isinstance(v, str) else json.dumps(v)) for n, v in enumerate(values)]
+    return spark.createDataFrame(texts, f"{PAGE} int, value string")
+
+
+def land(spark, path, *values):
+    """One page per line; a single partition keeps the lines in order."""
+    spark.createDataFrame([(json.dumps(v),) for v in values], "value string").coalesce(1).write.mode("append").text(path)
+
+
+# ---------------------------------------------------------------- pages
+
+
+@pytest.mark.parametrize("page, ids", [
+    ({"data": [{"id": 1}, {"id": 2}], "meta": {"has_more": True, "cursor": "c"}}, ["1", "2"]),
+    ({"items": [{"id": "a"}]}, ["a"]),
+    ({"results": [{"id": "a"}]}, ["a"]),
+    ({"data": [], "items": [{"id": "a"}]}, ["a"]),
+    ({"data": None, "items": [], "results": [{"id": "a"}]}, ["a"]),
+    ({"data": [{"id": "first"}], "items": [{"id": "second"}]}, ["first"]),
+    ([{"id": "bare"}], ["bare"]),
+    ({"data": []}, []), ({}, []), ([], []), ("not json", []), ({"data": "text"}, []),
+    ({"data": [{"id": "a"}, 5, "x", None, ["y"], {"id": "b"}]}, ["a", "b"]),
+])
+def test_unwrap(spark, page, ids):
+    rows = pg.rows_of(pg.unwrap_pages(pages(spark, page)), IDS)
+    assert [r.id for r in rows.orderBy("_page", "_pos").collect()] == ids
+
+
+def test_rows_have_schema_columns_and_nested_values_as_json(spark):
+    schema = T.StructType.fromDDL("id string, n bigint, price decimal(38,18), flag boolean, nested string, list string, gone string")
+    record = {"id": 7, "n": 3, "price": 1.25, "flag": True, "nested": {"k": 1}, "list": [1, 2], "extra": "dropped"}
+    got = pg.rows_of(pg.unwrap_pages(pages(spark, {"data": [record, {"id": 8}]})), schema).drop("_page", "_pos")
+    assert tuples(got) == [
+        ("7", 3, Decimal("1.25"), True, '{"k":1}', "[1,2]", None), ("8", None, None, None, None, None, None),
+    ]
+
+
+def test_arrival_schema_of_a_sample():
+    sample = {"id": 5, "flag": True, "n": 3, "price": 1.5, "gone": None, "name": "x", "tags": [1], "props": {}}
+    got = {f.name: f.dataType for f in pg.infer_arrival_schema(sample).fields}
+    assert got == {
+        "id": T.StringType(), "flag": T.BooleanType(), "n": T.LongType(), "price": NUMERIC, "gone": T.StringType(),
+        "name": T.StringType(), "tags": T.StringType(), "props": T.StringType(),
+    }
+
+
+def test_arrival_schema_from_pages(spark):
+    first = {"id": 1, "flag": False, "n": 3, "price": 1.5, "gone": None, "tags": [1]}
+    later = {"id": 2, "gone": 4, "n": 1.5, "tags": None, "late": True}
+    records = pg.unwrap_pages(pages(spark, {"data": []}, {"items": [9, first]}, {"data": [later]}))
+    by_first = {f.name: f.dataType.simpleString() for f in pg.arrival_schema(records).fields}
+    assert by_first == {
+        "id": "string", "flag": "boolean", "n": "bigint", "price": "decimal(38,18)", "gone": "string", "tags": "string",
+    }
+    assert by_first == {f.name: f.dataType.simpleString() for f in pg.infer_arrival_schema(first).fields}
+    by_all = {f.name: f.dataType.simpleString() for f in pg.arrival_schema(records, "all").fields}
+    assert by_all == by_first | {"n": "decimal(38,18)", "gone": "bigint", "late": "boolean"}
+    with pytest.raises(ValueError):
+        pg.arrival_fields(records, "last_row")
+
+
+def test_pages_are_read_in_order_of_path_and_line(spark, scratch):
+    path = scratch("landing")
+    land(spark, f"{path}/load=1", {"data": [{"id": "a"}]}, {"data": [{"id": "b"}]})
+    land(spark, f"{path}/load=2", {"data": [{"id": "c"}]})
+    rows = pg.rows_of(pg.unwrap_pages(pg.read_pages(spark, path)), IDS)
+    assert [r.id for r in rows.orderBy("_page", "_pos").collect()] == ["a", "b", "c"]
+
+
+def test_one_page_per_file(spark, scratch):
+    path = scratch("landing")
+    spark.createDataFrame([('{"data": [\n{"id": "a"},\n{"id": "b"}]\n}',)], "value string").coalesce(1).write.text(path)
+    rows = pg.rows_of(pg.unwrap_pages(pg.read_pages(spark, path, page_per_file=True)), IDS)
+    assert tuples(rows, "id") == [("a",), ("b",)]
+
+
+# ---------------------------------------------------------------- watermarks
+
+
+def times(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "updatedAt string")
+
+
+def mark(df):
+    return df.select(fn.utc_ntz("mark")).first()[0]
+
+
+def test_marks_compare_as_instants(spark):
+    df = times(spark, "2024-01-01T10:00:00+02:00", "2024-01-01T09:00:00Z", "2024-01-01T08:59:59+00:00", "", None, "soon")
+    assert mark(wm.advance_watermark(df, None)) == ts("2024-01-01 09:00")
+    assert mark(wm.advance_watermark(df, "2024-01-01T09:30:00Z")) == ts("2024-01-01 09:30")
+    assert mark(wm.advance_watermark(times(spark, "", None), "2024-01-01T09:30:00Z")) == ts("2024-01-01 09:30")
+    assert mark(wm.advance_watermark(times(spark, None), None)) is None
+
+
+def test_filter_keeps_ties_and_undated_rows(spark):
+    df = times(spark, "2024-01-01T10:00:00Z", "2024-01-01T11:00:00+01:00", "2024-01-01T09:59:59Z", None, "")
+    assert wm.filter_updated_after(df, "2024-01-01T10:00:00Z").count() == 4
+    assert wm.filter_updated_after(df, "2024-01-01T10:00:00Z", inclusive=False).count() == 2
+    assert wm.filter_updated_after(df, None).count() == 5
+
+
+def test_control_table(spark):
+    marks = wm.empty_marks(spark)
+    assert wm.read_watermark(marks, "orders") is None
+    marks = wm.save_watermark(marks, "orders", "2024-01-01T10:00:00+02:00", 5, "2024-02-01T00:00:00Z")
+    marks = wm.save_watermark(marks, "stores", None, 0, "2024-02-01T00:00:00Z")
+    assert wm.read_watermark(marks, "orders") == "2024-01-01T08:00:00Z"
+    assert wm.read_watermark(marks, "stores") is None
+    marks = wm.save_watermark(marks, "orders", "2024-01-03T00:00:00Z", 0, "2024-02-02T00:00:00Z")
+    assert tuples(marks, "entity", "rows_extracted") == [("orders", 0)]
+
+
+# ---------------------------------------------------------------- extract
+
+
+def row(key, when, **more):
+    return {"id": key, "updatedAt": when} | more
+
+
+@pytest.fixture
+def state(scratch):
+    return ExtractState(scratch("landing"), scratch("lake"))
+
+
+def run(spark, state, day, **options):
+    return extract_entity(spark, "orders", state, run_at=datetime(2024, 6, day, tzinfo=timezone.utc), **options)
+
+
+def test_incremental_extract(spark, state):
+    landing = state.landing("orders")
+    land(spark, f"{landing}/load=1",
+         {"data": [row("a", "2024-01-01T00:00:00Z", v=1), row("b", "2024-01-02T00:00:00Z", v=2, props={"k": [1]})]},
+         {"data": []}, {"data": [row("a", "2023-12-31T00:00:00Z", v=3)]})
+    assert run(spark, state, 1) == 3
+    table = state.entity(spark, "orders")
+    # The older record arrived later and wins; props was not in the first record.
+    assert table.columns == ["id", "updatedAt", "v"]
+    assert tuples(table, "id", "v") == [("a", 3), ("b", 2)]
+    assert wm.read_watermark(current_marks(spark, state), "orders") == "2024-01-02T00:00:00Z"
+
+    # Nothing new: rows at the mark itself are read again, nothing changes.
+    assert run(spark, state, 2) == 1
+    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 3), ("b", 2)]
+
+    land(spark, f"{landing}/load=2", {"items": [row("c", "2024-01-05T01:00:00+02:00", v=4), row("a", None, v=5), row("b", "2024-01-01T00:00:00Z", v=6)]})
+    assert run(spark, state, 3) == 3
+    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 5), ("b", 2), ("c", 4)]
+    assert wm.read_watermark(current_marks(spark, state), "orders") == "2024-01-04T23:00:00Z"
+
+    # A full refresh reads what the mark had hidden, and truncates nothing.
+    assert run(spark, state, 4, full_refresh=True) == 6
+    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 5), ("b", 6), ("c", 4)]
+    assert wm.read_watermark(current_marks(spark, state), "orders") == "2024-01-04T23:00:00Z"
+
+    new = f"{state.lake_dir}/compacted"
+    tb.compact(spark, state.table("orders"), new)
+    assert tuples(tb.read_batches(spark, new)) == tuples(state.entity(spark, "orders"))
+
+
+def test_a_run_that_died_before_the_mark_is_repeated(spark, state):
+    land(spark, state.landing("orders"), {"data": [row("a", "2024-01-01T00:00:00Z", v=1)]})
+    run(spark, state, 1)
+    content = tuples(state.entity(spark, "orders"))
+    # The batch of day 2 is there, its mark is not: day 3 starts from the mark of day 1.
+    number = int(datetime(2024, 6, 2, tzinfo=timezone.utc).timestamp() * 1_000_000)
+    tb.append_batch(spark.read.parquet(state.table("orders")).drop("batch"), state.table("orders"), number)
+    assert run(spark, state, 3) == 1
+    assert tuples(state.entity(spark, "orders")) == content
+
+
+def test_no_rows_no_mark(spark, state):
+    land(spark, state.landing("orders"), {"data": []})
+    assert run(spark, state, 1) == 0
+    assert current_marks(spark, state).count() == 0
+
+
+def test_extract_all_isolates_failures(spark, state):
+    land(spark, state.landing("orders"), {"data": [row("a", "2024-01-01T00:00:00Z")]})
+    land(spark, state.landing("stores"), {"data": [{"id": None, "updatedAt": "2024-01-01T00:00:00Z"}]})
+    summary = {r.entity: r for r in extract_all(spark, ["orders", "missing", "stores"], state).collect()}
+    assert (summary["orders"].status, summary["orders"].rows, summary["orders"].error) == ("success", 1, None)
+    assert summary["missing"].status == "failed" and "PATH_NOT_FOUND" in summary["missing"].error
+    # A record without a key fails its entity and leaves nothing behind.
+    assert summary["stores"].status == "failed" and "NULL in key column id" in summary["stores"].error
+    assert state.entity(spark, "stores") is None
+
+
+# ---------------------------------------------------------------- tables
+
+
+def test_replayed_batch_replaces_itself(spark, scratch):
+    path = scratch("table")
+    assert tb.read_batches(spark, path) is None
+    first = spark.createDataFrame([("a", 1, 0, 0), ("a", 2, 0, 1)], "id string, v int, _page int, _pos int")
+    for _ in range(2):
+        tb.append_batch(first, path, 0)
+    assert spark.read.parquet(path).count() == 2
+    tb.append_batch(first.filter("v = 1"), path, 10)
+    assert tuples(tb.read_batches(spark, path)) == [("a", 1)]
+
+
+def test_materialize(spark, scratch):
+    df = spark.range(10).withColumn("month", F.col("id") % 2)
+    tb.materialize(df, "as_view")
+    assert spark.table("as_view").count() == 10
+    path = scratch("t")
+    for _ in range(2):
+        tb.materialize(df, "as_table", "table", path, "month")
+    assert spark.table("as_table").filter("month = 1").count() == 5
+    with pytest.raises(ValueError):
+        tb.materialize(df, "x", "table")
+    with pytest.raises(ValueError):
+        tb.materialize(df, "x", "index")
+
+
+def test_write_table_appends(spark, scratch):
+    path = scratch("t")
+    for _ in range(2):
+        tb.write_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 6
+    with pytest.raises(ValueError):
+        tb.write_table(spark.range(3), path, how="paper")
+
+
+def test_sources_as_views(spark, scratch):
+    base = scratch("lake")
+    spark.range(4).write.parquet(f"{base}/stores")
+    assert tb.sources(spark, base, ["stores"], views=True)["stores"].count() == spark.table("stores").count() == 4
+
+
+def test_jdbc_options():
+    plain = jdbc_options("jdbc:x", "orders", "raw", user="u")
+    assert plain["dbtable"] == "raw.orders" and plain["user"] == "u" and "numPartitions" not in plain
+    cut = jdbc_options("jdbc:x", "orders", partition={"column": "updated_at", "lower": "2024-01-01", "upper": "2024-12-31", "count": 64})
+    assert (cut["partitionColumn"], cut["numPartitions"], cut["dbtable"]) == ("updated_at", "64", "orders")
+
+
+def test_nine_entities_have_an_id():
+    assert len(ENTITIES) == 9 and all(RAW_SCHEMAS[e].fieldNames()[0] == "id" for e in ENTITIES)
