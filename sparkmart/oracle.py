@@ -51,15 +51,16 @@ def _key(*parts: str) -> str:
 
 
 def _history(key: str, first: str, second: str) -> str:
-    """Two batches: a key the second one has was valid until then."""
+    """Two batches: a row of the first one was valid until the second had a newer one."""
     return f"""
+    with changed as (select n.* from {second} n join {first} f using ({key}) where n.updated_at > f.updated_at)
     select b.*, {_key(f'b.{key}', 'b.updated_at')} as dbt_scd_id, b.updated_at as dbt_updated_at,
            b.updated_at as dbt_valid_from, c.updated_at as dbt_valid_to
-    from {first} b left join {second} c using ({key})
+    from {first} b left join changed c using ({key})
     union all by name
     select c.*, {_key(f'c.{key}', 'c.updated_at')} as dbt_scd_id, c.updated_at as dbt_updated_at,
            c.updated_at as dbt_valid_from, cast(null as timestamp) as dbt_valid_to
-    from {second} c"""
+    from changed c"""
 
 
 _SHIPPED = "select l_orderkey, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship from lineitem group by 1"
@@ -69,9 +70,9 @@ _LATEST_PRODUCT = "(select * from dim_products where valid_to is null)"
 # Name -> SQL of every relation the oracles build on.
 VIEWS: dict[str, str] = {
     "raw_customers": f"select {_columns(dt.CUSTOMERS)} from customer",
-    "raw_customers_2": f"select {_columns(dt.CUSTOMERS_2)} from customer where c_custkey % 10 = 0",
+    "raw_customers_2": f"select {_columns(dt.CUSTOMERS_2)} from customer",
     "raw_products": f"select {_columns(dt.PRODUCTS)} from part",
-    "raw_products_2": f"select {_columns(dt.PRODUCTS_2)} from part where p_partkey % 7 = 0",
+    "raw_products_2": f"select {_columns(dt.PRODUCTS_2)} from part",
     "raw_stores": f"select {_columns(dt.STORES)} from nation left join region on n_regionkey = r_regionkey",
     "raw_employees": f"select {_columns(dt.EMPLOYEES)} from supplier",
     "raw_orders": f"select {_columns(dt.ORDERS)} from orders left join ({_SHIPPED}) s on o_orderkey = l_orderkey",
@@ -221,10 +222,13 @@ BODIES: dict[str, str] = {
         union all select 'purchase', timestamp '2030-01-01', timestamp '2030-01-02', 7
         union all select 'refund', timestamp '2030-01-01', timestamp '2030-01-02', 1""",
     # ---- upsert, merge, extract
-    "upsert_by_id": f"select distinct on (id) {_RECORD} from records order by id, page % 2, page desc, pos desc",
+    "upsert_by_id": f"""
+        select {_RECORD.replace('value', """case "eventType" when 'error' then value * 2 else value end as value""")}
+        from (select distinct on (id) * from records order by id, page desc, pos desc)""",
     "merge_by_key": """
-        select id, segment, tier, updated_at from raw_customers_2
-        union all select id, segment, tier, updated_at from raw_customers where id not in (select id from raw_customers_2)""",
+        select id, segment, case when c_acctbal >= 9000 then 'vip' else tier end as tier,
+               case when c_acctbal >= 9000 then '2024-02-01 00:00:00' else updated_at end as updated_at
+        from raw_customers join customer on id = cast(c_custkey as varchar)""",
     "extract_entity": f"""
         select distinct on (id) {_RECORD} from records
         order by id, ts = (select max(ts) from events) desc, page % 2 desc, page desc, pos desc""",
@@ -298,12 +302,10 @@ BODIES: dict[str, str] = {
     "filter_positive": "select payment_id, amount_paid, updated_at from newest_payments where amount_paid > 0",
     # ---- history
     "scd2_apply": f"""
-        with states as (
-            select cast(user_id as varchar) as user_id, event_type, value, ts as updated_at, row_number() over (partition by user_id order by ts desc) as from_last,
-                   row_number() over (partition by user_id, day(ts) % 2 order by ts desc) as from_last_odd, day(ts) % 2 = 1 as odd
-            from events
-        ), kept as (
-            select user_id, event_type, value, updated_at from states where from_last = 1 or (odd and from_last_odd = 1)
+        with kept as (
+            select cast(user_id as varchar) as user_id, event_type, value, ts as updated_at from events
+            qualify ts = max(ts) over (partition by user_id)
+                 or ts = max(ts) filter (where event_type <> 'error') over (partition by user_id)
         )
         select *, {_key('user_id', 'updated_at')} as dbt_scd_id, updated_at as dbt_updated_at, updated_at as dbt_valid_from,
                lead(updated_at) over (partition by user_id order by updated_at) as dbt_valid_to

@@ -57,9 +57,10 @@ def _rows(spark: SparkSession, sf: str) -> DataFrame:
     return pg.rows_of(_records(spark, sf), RECORD)
 
 
-def _land(pages: DataFrame, path: str) -> None:
-    """Page text to files whose names sort by page."""
-    pages.repartitionByRange(PAGE).sortWithinPartitions(PAGE).select("value").write.text(path)
+def _land(pages: DataFrame, load: int, path: str) -> None:
+    """The pages of one load, in files whose names sort by page."""
+    due = pages.filter(F.col("load") == load).repartitionByRange(PAGE).sortWithinPartitions(PAGE)
+    due.select("value").write.text(f"{path}/load={load}")
 
 
 @query("unwrap_pages")
@@ -151,16 +152,18 @@ def _event_columns(df: DataFrame) -> DataFrame:
 @query("upsert_by_id")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    early, late = rows.filter(F.col(PAGE) % 2 == 1), rows.filter(F.col(PAGE) % 2 == 0)
-    # Arrival order decides: the older, even pages arrive last and win.
-    return _event_columns(op.upsert_by_key(op.upsert_by_key(None, early), late))
+    base = op.upsert_by_key(None, rows)
+    # Arrival order decides: late errors overwrite newer rows.
+    late = rows.filter("eventType = 'error'").withColumn("value", F.col("value") * 2)
+    return _event_columns(op.upsert_by_key(base, late))
 
 
 @query("merge_by_key")
 def _(spark, sf):
     raw = dt.raw_tables(spark, sf)
     base = op.merge_by_key(None, raw["customers"], ["id"], "updated_at")
-    merged = op.merge_by_key(base, dt.second_batches(spark, sf)["customers"], ["id"], "updated_at")
+    changed = dt.second_batches(spark, sf)["customers"].filter("tier = 'vip'")
+    merged = op.merge_by_key(base, changed, ["id"], "updated_at")
     return merged.select("id", "segment", "tier", "updated_at")
 
 
@@ -169,9 +172,9 @@ def _(spark, sf):
     state = ExtractState(scratch_path(spark, "landing"), scratch_path(spark, "lake"))
     pages = dt.landed_pages(spark, sf)
     day = datetime(2030, 1, 1, tzinfo=timezone.utc)
-    _land(pages.filter(F.col(PAGE) % 2 == 0), f"{state.landing('events')}/load=1")
+    _land(pages, 1, state.landing("events"))
     extract_entity(spark, "events", state, run_at=day)
-    _land(pages.filter(F.col(PAGE) % 2 == 1), f"{state.landing('events')}/load=2")
+    _land(pages, 2, state.landing("events"))
     extract_entity(spark, "events", state, full_refresh=True, run_at=day.replace(day=2))
     extract_entity(spark, "events", state, run_at=day.replace(day=3))
     return _event_columns(state.entity(spark, "events")).withColumn("value", F.col("value").cast("double"))
@@ -196,8 +199,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "supplier")
     suppliers = dt.table(spark, sf, "supplier")
-    tb.write_table(suppliers.filter("s_suppkey % 2 = 0"), path)
-    tb.write_table(suppliers.filter("s_suppkey % 2 = 1"), path)
+    tb.write_table(suppliers.filter("s_acctbal >= 0"), path)
+    tb.write_table(suppliers.filter("s_acctbal < 0"), path)
     return spark.read.parquet(path)
 
 
@@ -386,11 +389,9 @@ def _(spark, sf):
     events = dt.table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("user_id"), "event_type", "value", F.col("ts").alias("updated_at"),
     )
-    halves = [events.filter(F.dayofmonth("updated_at") % 2 == 1), events]
-    history = None
-    for batch in halves:
-        history = op.scd2_apply(history, batch, "user_id")
-    return history
+    # A batch shows the last state of a user: first without the errors, then with them.
+    history = op.scd2_apply(None, events.filter("event_type <> 'error'"), "user_id")
+    return op.scd2_apply(history, events, "user_id")
 
 
 @query("snapshot_customers")
@@ -507,8 +508,8 @@ def _(spark, sf):
 def _(spark, sf):
     landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "table", "checkpoint"))
     pages = dt.landed_pages(spark, sf)
-    for load in (1, 2):
-        _land(pages.filter(F.col(PAGE) % 2 == load - 1), f"{landing}/load={load}")
+    for load in range(1, dt.LOADS + 1):
+        _land(pages, load, landing)
         stream_ingest(spark, landing, table, checkpoint, RECORD).awaitTermination()
     return _event_columns(tb.read_batches(spark, table))
 

@@ -37,7 +37,12 @@ CUSTOMERS = {
     "created_at": "'2023-06-01 08:30:00'",
     "updated_at": f"'{BATCH_1}'",
 }
-CUSTOMERS_2 = CUSTOMERS | {"tier": "'vip'", "updated_at": f"'{BATCH_2}'"}
+#: Customers of the second batch whose row has changed.
+CUSTOMER_CHANGED = "c_acctbal >= 9000"
+CUSTOMERS_2 = CUSTOMERS | {
+    "tier": f"case when {CUSTOMER_CHANGED} then 'vip' else ({CUSTOMERS['tier']}) end",
+    "updated_at": f"case when {CUSTOMER_CHANGED} then '{BATCH_2}' else '{BATCH_1}' end",
+}
 
 PRODUCTS = {
     "id": text("p_partkey"),
@@ -55,9 +60,10 @@ PRODUCTS = {
     "created_at": "'2023-06-01 08:30:00'",
     "updated_at": f"'{BATCH_1}'",
 }
+PRODUCT_CHANGED = "p_size > 40"
 PRODUCTS_2 = PRODUCTS | {
-    "selling_price": "cast(cast(p_retailprice as decimal(12,2)) + 1.00 as decimal(12,2))",
-    "updated_at": f"'{BATCH_2}'",
+    "selling_price": f"cast(p_retailprice as decimal(12,2)) + case when {PRODUCT_CHANGED} then 1.00 else 0.00 end",
+    "updated_at": f"case when {PRODUCT_CHANGED} then '{BATCH_2}' else '{BATCH_1}' end",
 }
 
 STORES = {
@@ -218,18 +224,22 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
 
 
 def second_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The changed customers and products of the second batch."""
+    """Customers and products a month later: whole tables, some rows changed."""
     return {
-        "customers": project(table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0"), CUSTOMERS_2),
-        "products": project(table(spark, sf_dir, "part").filter("p_partkey % 7 = 0"), PRODUCTS_2),
+        "customers": project(table(spark, sf_dir, "customer"), CUSTOMERS_2),
+        "products": project(table(spark, sf_dir, "part"), PRODUCTS_2),
     }
 
 
 RECORDS_PER_PAGE = 100
 
 
+LOADS = 2
+
+
 def landed_pages(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
-    """``events`` as pages of JSON text: ``_page``, ``value`` (and the ``by`` columns).
+    """``events`` as pages of JSON text: ``load`` (when it lands), ``_page``, ``value``,
+    and the ``by`` columns.
 
     The records sit under each known name in turn, one page in four is a bare list.
     """
@@ -247,8 +257,10 @@ def landed_pages(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
         F.from_json("props", "k int").alias("props"),
         F.concat(time, zone).alias("updatedAt"),
     )
+    # An event's number is its own, so a page has no more than its hundred records.
     page = F.floor(F.col("event_id") / RECORDS_PER_PAGE).cast("bigint")
-    listed = F.array_sort(F.collect_list(F.struct((F.col("event_id") % RECORDS_PER_PAGE).alias("pos"), F.to_json(record).alias("r"))))
+    position = (F.col("event_id") % RECORDS_PER_PAGE).alias("pos")
+    listed = F.array_sort(F.collect_list(F.struct(position, F.to_json(record).alias("r"))))
     body = F.concat(F.lit("["), F.array_join(F.transform(listed, lambda x: x["r"]), ","), F.lit("]"))
     data, items, results = ENVELOPES
     more = F.lit('"meta":{"has_more":true,"cursor":"next"}}')
@@ -259,4 +271,6 @@ def landed_pages(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
         .when(turn == 2, F.concat(F.lit(f'{{"{results}":'), "body", F.lit(","), more))
         .otherwise(F.col("body"))
     )
-    return events.groupBy(*by, page.alias("_page")).agg(body.alias("body")).select(*by, "_page", value.alias("value"))
+    load = (F.col("_page") % LOADS + 1).alias("load")
+    pages = events.groupBy(*by, page.alias("_page")).agg(body.alias("body"))
+    return pages.select(*by, load, "_page", value.alias("value"))

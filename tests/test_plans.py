@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from sparkmart import operators as op
 from sparkmart import registry
+from sparkmart.sources.watermark import filter_updated_after
 
 SF = "/root/testdata/sf0.001"
 EAGER = {  # These write tables on the way; their parts are checked on their own.
@@ -36,13 +37,14 @@ def test_sales_fact_plan(spark):
     assert orders == "o_orderkey:bigint,o_custkey:bigint"
 
 
-def test_watermark_filter_reaches_the_scan(spark, scratch):
+def test_filters_reach_the_scan(spark, scratch):
     path = scratch("t")
     spark.sql("select id, timestamp '2024-01-01' as updated_at from range(3)").write.parquet(path)
-    current = op.lookup_current(
-        spark.range(3).withColumn("k", F.col("id").cast("string")),
-        spark.read.parquet(_versions(spark, scratch)), ("k", "key"), ["name"],
-    )
+    newer = filter_updated_after(spark.read.parquet(path), "2024-01-01T00:00:00Z", "updated_at")
+    assert "PushedFilters: [Or(GreaterThanOrEqual(updated_at,2024-01-01 00:00:00.0),IsNull(updated_at))]" in plan(newer)
+
+    fact = spark.range(3).select(F.col("id").cast("string").alias("k"))
+    current = op.lookup_current(fact, spark.read.parquet(_versions(spark, scratch)), ("k", "key"), ["name"])
     assert "PushedFilters: [IsNull(valid_to), IsNotNull(key)]" in plan(current)
 
 

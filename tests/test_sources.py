@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -181,6 +182,20 @@ def test_incremental_extract(spark, state):
     assert tuples(tb.read_batches(spark, new)) == tuples(state.entity(spark, "orders"))
 
 
+def test_files_of_earlier_runs_are_skipped(spark, state):
+    landing = state.landing("orders")
+    land(spark, f"{landing}/load=1", {"data": [row("a", "2024-01-01T00:00:00Z", v=1), row("b", "2024-01-01T00:00:00Z", v=2)]})
+    assert extract_entity(spark, "orders", state, only_new_files=True) == 2
+    time.sleep(1.1)
+    middle = datetime.now(timezone.utc)
+    assert extract_entity(spark, "orders", state, only_new_files=True, run_at=middle) in (0, 2)
+    time.sleep(1.1)
+    land(spark, f"{landing}/load=2", {"data": [row("c", "2024-01-02T00:00:00Z", v=3)]})
+    # Without the option the rows at the mark would be read again.
+    assert extract_entity(spark, "orders", state, only_new_files=True) == 1
+    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 1), ("b", 2), ("c", 3)]
+
+
 def test_a_run_that_died_before_the_mark_is_repeated(spark, state):
     land(spark, state.landing("orders"), {"data": [row("a", "2024-01-01T00:00:00Z", v=1)]})
     run(spark, state, 1)
@@ -246,6 +261,23 @@ def test_write_table_appends(spark, scratch):
         tb.write_table(spark.range(3), path, how="paper")
 
 
+def test_tables_with_equal_buckets_join_without_a_shuffle(spark):
+    for name in ("bucketed_lines", "bucketed_orders"):
+        spark.sql(f"drop table if exists {name}")
+        tb.write_table(spark.range(100).withColumnRenamed("id", "order_id"), name, "overwrite", "table", (4, "order_id"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = spark.table("bucketed_lines").join(spark.table("bucketed_orders"), "order_id", "left")
+        assert joined.count() == 100
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_lines", "bucketed_orders"):
+            spark.sql(f"drop table if exists {name}")
+    with pytest.raises(ValueError):
+        tb.write_table(spark.range(1), "x", buckets=(2, "id"))
+
+
 def test_sources_as_views(spark, scratch):
     base = scratch("lake")
     spark.range(4).write.parquet(f"{base}/stores")
