@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.functions import cast_to
 
+#: Types whose cast follows a rule of its own; all others are plain casts, written as one
+#: text per column because plans of wide tables are built from Python call by call.
+_RULED = (T.BooleanType, T.IntegerType, T.LongType)
 _NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 
@@ -21,15 +24,14 @@ def conform_columns(df: DataFrame, schema: T.StructType, strict: bool = False) -
     have = {f.name: f.dataType for f in df.schema.fields}
     if strict and (missing := [f.name for f in schema.fields if f.name not in have]):
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*[_conformed(f, have.get(f.name)) for f in schema.fields])
-
-
-def _conformed(field: T.StructField, source: T.DataType | None) -> Column:
-    if source == field.dataType:
-        return F.col(f"`{field.name}`")
-    if source is None:
-        return F.lit(None).cast(field.dataType).alias(field.name)
-    return cast_to(f"`{field.name}`", source, field.dataType).alias(field.name)
+    ruled = {
+        f.name: cast_to(f"`{f.name}`", have[f.name], f.dataType)
+        for f in schema.fields if f.name in have and isinstance(f.dataType, _RULED) and have[f.name] != f.dataType
+    }
+    return (df.withColumns(ruled) if ruled else df).selectExpr(*[
+        f"cast({f'`{f.name}`' if f.name in have else 'null'} as {f.dataType.simpleString()}) as `{f.name}`"
+        for f in schema.fields
+    ])
 
 
 def serialize_nested(df: DataFrame) -> DataFrame:

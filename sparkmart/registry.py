@@ -328,12 +328,18 @@ class _Histories(dict):
         return self.setdefault(entity, _history(*self.place, entity))
 
 
+class _Marts(Models):
+    """All models, with both batches in the histories and a calendar that covers the data."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "dim_date" and name not in self.built:
+            days = op.date_spine_over(self["stg_order_items"], "created_at", "updated_at")
+            self.built[name] = dims.calendar(days)
+        return super().__getitem__(name)
+
+
 def marts(spark: SparkSession, sf: str) -> Models:
-    """All models as lazy tables, with a calendar that covers the test data."""
-    raw = dt.raw_tables(spark, sf)
-    lines = staging.stg_order_items(raw["order_items"])
-    days = dims.calendar(op.date_spine_over(lines, "created_at", "updated_at"))
-    return Models(spark, raw, _Histories(spark, sf), {"dim_date": days})
+    return _Marts(spark, dt.raw_tables(spark, sf), _Histories(spark, sf))
 
 
 @query("left_join_lookup")
