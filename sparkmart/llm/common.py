@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_CHARS = 4_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     """Columns of a table of ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
@@ -77,3 +77,15 @@ def to_arrow(spark: SparkSession, schema: str) -> pa.Schema:
 def held_out(key: Column) -> Column:
     """Whether crc32 of the key as text leaves 2 when divided by 4."""
     return F.crc32(key.cast("string")) % 4 == 2
+
+
+def replace_text(df: DataFrame, change: Callable[[str], str], text: str = "text") -> DataFrame:
+    """``df`` with ``change`` applied to every text; NULL stays NULL.  No shuffle."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = pa.array([None if t is None else change(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([new if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+
+    return df.mapInArrow(run, df.schema)

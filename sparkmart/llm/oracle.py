@@ -41,4 +41,30 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged
 """
 
-ORACLES = {"op4_line_frequency": _LINE_FREQUENCY}
+_LINE_DEDUP = r"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+every AS (
+  SELECT row, doc_id, pos - 1 AS pos, trim(ls[pos]) AS line
+  FROM (SELECT row, doc_id, ls, unnest(generate_series(1, len(ls))) AS pos FROM docs)
+  WHERE regexp_matches(ls[pos], '[^ 	-]')),
+different AS (
+  SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first, length(line) AS n,
+    length(replace(line, 'e', '')) AS e, length(replace(line, 't', '')) AS t, length(replace(line, 'n', '')) AS m,
+    length(replace(line, 'r', '')) AS r, length(replace(line, 'h', '')) AS h, length(replace(line, ' ', '')) AS s
+  FROM every GROUP BY line),
+near AS (
+  SELECT x.line AS line, y.line AS other, x.first > y.first AS later
+  FROM different x JOIN (SELECT *, unnest(generate_series(-2, 2)) AS d FROM different) y ON x.n = y.n + y.d AND x.line <> y.line
+  WHERE x.n >= 24 AND y.n >= 24 AND abs(x.e - y.e) <= 2 AND abs(x.t - y.t) <= 2 AND abs(x.m - y.m) <= 2
+    AND abs(x.r - y.r) <= 2 AND abs(x.h - y.h) <= 2 AND abs(x.s - y.s) <= 2 AND levenshtein(x.line, y.line) <= 2),
+linked AS (SELECT line, count(*) AS links, bool_or(later) AS near FROM near GROUP BY line),
+told AS (
+  SELECT row, pos, coalesce(links, 0) AS links, struct_pack(doc_id := doc_id, pos := pos) <> first AS exact, coalesce(near, false) AS near
+  FROM every JOIN different USING (line) LEFT JOIN linked USING (line))
+SELECT doc_id, len(any_value(ls)) AS n_lines, CAST(coalesce(sum(CAST(exact AS INT)), 0) AS BIGINT) AS n_exact,
+  CAST(coalesce(sum(CAST(near AND NOT exact AS INT)), 0) AS BIGINT) AS n_near, CAST(coalesce(sum(links), 0) AS BIGINT) AS n_links,
+  coalesce(string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE exact OR near), '') AS removed
+FROM docs LEFT JOIN told USING (row) GROUP BY row, doc_id
+"""
+
+ORACLES = {"op3_line_dedup": _LINE_DEDUP, "op4_line_frequency": _LINE_FREQUENCY}

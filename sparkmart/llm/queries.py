@@ -6,10 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import best_fit_packing, line_frequency, secret_scan, sentencepieces, simhash_tiles, token_counts
+from sparkmart.llm import (
+    best_fit_packing,
+    line_dedup,
+    line_frequency,
+    mincut_extraction,
+    prefix_forest,
+    rule_ensemble,
+    secret_scan,
+    sentencepieces,
+    simhash_tiles,
+    token_counts,
+)
 from sparkmart.llm.common import table
 
 
+def op1_mincut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut_extraction.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = prefix_forest.nearest(vectors, k=5, every=50)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_frequency.judge(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -39,6 +64,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.token_digests(table(spark, sf_dir, "documents", "doc_id", "text"), path)
 
 
+def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return rule_ensemble.quality_scores(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and name[2:3].isdigit()
 }
