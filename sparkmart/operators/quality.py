@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FAILURES = "failures"
@@ -56,57 +56,37 @@ class Check:
 def quality_report(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: name, number of failures, status.
 
-    Each table is read once for all its checks.
+    The NULLs of a table are counted in one pass without a shuffle of rows.  Every other
+    check counts its own column: unique ids and keys that much of the table shares never
+    meet in one aggregate, and the latter are folded before the shuffle.  ``tables`` are
+    read once per check, so they should be written tables and not views over long plans.
     """
-    by_table: dict[str, list[Check]] = {}
+    checks = list(checks)
+    nulls: dict[str, list[Check]] = {}
     for check in checks:
-        by_table.setdefault(check.table, []).append(check)
-    if not by_table:
+        if check.kind == "not_null":
+            nulls.setdefault(check.table, []).append(check)
+    reports = [_null_counts(tables[table], group) for table, group in nulls.items()]
+    reports += [_failures(tables, check) for check in checks if check.kind != "not_null"]
+    if not reports:
         return spark.createDataFrame([], f"check_name string, {FAILURES} bigint, status string")
-    reports = [_table_report(tables, table, group) for table, group in by_table.items()]
     return reduce(DataFrame.unionByName, reports).select(
         "check_name", FAILURES, F.when(F.col(FAILURES) == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
     )
 
 
-_COLUMN, _VALUE, _FOUND = "_column", "_value", "_found"
+def _null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    results = [F.struct(F.lit(c.name).alias("check_name"), F.count_if(F.col(c.column).isNull()).alias(FAILURES)) for c in checks]
+    return df.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
-def _table_report(tables: Mapping[str, DataFrame], table: str, checks: list[Check]) -> DataFrame:
-    """Counts the values of all checked columns in one pass, then judges the counts.
-
-    Counting starts before the shuffle, so a value that fills a column is one row per
-    map task.  Parent keys are matched with the counts, not with the rows.
-    """
-    columns = list(dict.fromkeys(c.column for c in checks))
-    pairs = F.array(*[F.struct(F.lit(c).alias(_COLUMN), F.col(c).cast("string").alias(_VALUE)) for c in columns])
-    counts = tables[table].select(F.inline(pairs)).groupBy(_COLUMN, _VALUE).agg(F.count(F.lit(1)).alias("n"))
-
-    references = [c for c in checks if c.kind == "relationships"]
-    if references:
-        keys = reduce(DataFrame.unionByName, [
-            tables[c.to].select(
-                F.lit(c.column).alias(_COLUMN), F.col(c.field).cast("string").alias(_VALUE), F.lit(c.name).alias(_FOUND),
-            )
-            for c in references
-        ])
-        # A key can be found by as many checks as look at its column.
-        found = keys.groupBy(_COLUMN, _VALUE).agg(F.collect_set(_FOUND).alias(_FOUND))
-        counts = counts.join(found, [_COLUMN, _VALUE], "left")
-
-    results = [F.struct(F.lit(c.name).alias("check_name"), _failures(c).alias(FAILURES)) for c in checks]
-    return counts.agg(F.array(*results).alias("results")).select(F.inline("results"))
-
-
-def _failures(check: Check) -> Column:
-    """The check's failures, from counts per column and value."""
-    here, given, n = F.col(_COLUMN) == check.column, F.col(_VALUE).isNotNull(), F.col("n")
+def _failures(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    """The number of values that are not unique, or of rows without a parent."""
     if check.kind == "unique":
-        return F.count_if(here & given & (n > 1))
-    if check.kind == "not_null":
-        bad = here & ~given
+        found = check_unique(tables[check.table], check.column).agg(F.count(F.lit(1)).alias(FAILURES))
     elif check.kind == "relationships":
-        bad = here & given & ~F.coalesce(F.array_contains(_FOUND, check.name), F.lit(False))
+        lost = check_relationships(tables[check.table], check.column, tables[check.to], check.field)
+        found = lost.agg(F.coalesce(F.sum(FAILURES), F.lit(0)).cast("bigint").alias(FAILURES))
     else:
         raise ValueError(f"unknown kind of check: {check.kind}")
-    return F.coalesce(F.sum(F.when(bad, n)), F.lit(0)).cast("bigint")
+    return found.select(F.lit(check.name).alias("check_name"), FAILURES)

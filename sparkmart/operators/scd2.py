@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
 )
 META = (SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO)
 
-_OUT = "_out"
+_OUT, _FIRST = "_out", "_first"
 
 
 def _versioned(batch: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -116,22 +117,21 @@ def scd2_from_log(
 
     Rows of one key and one instant count as one version (``ties`` choose the row).
 
-    The next version is sought within the key's day first.  Only the last version of
-    each day needs another day, and of those a key has no more than the calendar has
-    days; so no task ever sorts all versions of a key that holds much of the log.
+    The next version is sought within the key's minute first.  Only the last version of a
+    minute needs another minute of its day, and only the last of a day another day: a task
+    sorts the versions of one minute, the minutes of one day, or the days of one key,
+    however much of the log the key holds.
     """
-    day, first = "_day", "_first_of_day"
-    versions = _versioned(dedup_latest(log, [key, ts], None, ties), key, ts)
-    within = Window.partitionBy(key, day)
-    daily = (
-        versions.withColumn(day, F.col(ts).cast("date"))
-        .withColumns({
-            VALID_TO: F.lead(ts).over(within.orderBy(ts)),
-            first: F.first(ts).over(within.orderBy(ts)),
-        })
-    )
-    inner = daily.filter(F.col(VALID_TO).isNotNull())
-    last = daily.filter(F.col(VALID_TO).isNull()).withColumn(
-        VALID_TO, F.lead(first).over(Window.partitionBy(key).orderBy(day))
-    )
-    return inner.unionByName(last).drop(day, first)
+    rows = _versioned(dedup_latest(log, [key, ts], None, ties), key, ts)
+    closed = []
+    for level in ("minute", "day", None):
+        parts = [key] if level is None else [key, F.date_trunc(level, ts)]
+        found = rows.withColumn(VALID_TO, F.lead(_FIRST if closed else ts).over(Window.partitionBy(*parts).orderBy(ts)))
+        if level is None:
+            closed.append(found)
+            break
+        # the first instant of the part: where the part before it ends
+        found = found.withColumn(_FIRST, F.first(_FIRST if closed else ts).over(Window.partitionBy(*parts).orderBy(ts)))
+        closed.append(found.filter(F.col(VALID_TO).isNotNull()))
+        rows = found.filter(F.col(VALID_TO).isNull())
+    return reduce(DataFrame.unionByName, [part.drop(_FIRST) for part in closed])

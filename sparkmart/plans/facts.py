@@ -104,11 +104,10 @@ def fct_order_lifecycle(orders: DataFrame) -> DataFrame:
 def fact_date_key(fact: DataFrame, dates: DataFrame, roles: Mapping[str, str]) -> DataFrame:
     """Adds ``<role>_date_key`` for each {role: date or timestamp column}.
 
-    A day the calendar lacks gives NULL.  The calendar has one row per day of a few
-    years at most, which bounds what is broadcast.
+    A day the calendar lacks gives NULL.  A small calendar is broadcast by its size.
     """
     for role, column in roles.items():
         day = f"_{role}_day"
-        keyed = lookup(fact.withColumn(day, to_day(column)), F.broadcast(dates), (day, DAY), {"date_key": f"{role}_date_key"})
+        keyed = lookup(fact.withColumn(day, to_day(column)), dates, (day, DAY), {"date_key": f"{role}_date_key"})
         fact = keyed.drop(day)
     return fact

@@ -37,10 +37,18 @@ def _orders() -> Column:
     return F.count_distinct("order_id").alias("orders")
 
 
+def _order_rows() -> Column:
+    """Orders where each is one row by now."""
+    return F.count("order_id").alias("orders")
+
+
 def kpi_summary(marts: Marts) -> DataFrame:
     """Revenue, orders, customers and average order value in one row."""
-    per_order = _per_order(marts["fct_sales"], "customer_key")
-    totals = per_order.agg(_revenue(), _orders(), F.count_distinct("customer_key").alias("customers"))
+    # An order has one customer, so it is one row per order with the customer carried along.
+    per_order = marts["fct_sales"].groupBy("order_id").agg(
+        _money(F.sum("gross_revenue")).alias("revenue"), F.max("customer_key").alias("customer_key"),
+    )
+    totals = per_order.agg(_revenue(), _order_rows(), F.count_distinct("customer_key").alias("customers"))
     return totals.withColumn("average_order_value", ratio("revenue", "orders"))
 
 
@@ -62,9 +70,14 @@ def revenue_by_product(marts: Marts) -> DataFrame:
 
 
 def revenue_trend(marts: Marts) -> DataFrame:
-    """Revenue per calendar day, beside that of its month."""
+    """Revenue per day, beside that of its month.
+
+    Year and month are those of the day itself, so a day outside the calendar has no
+    ``date_key`` but keeps its month.
+    """
     per_day = marts["fct_sales"].groupBy(to_day("created_at").alias("sold_on")).agg(_revenue("gross_revenue"))
-    keyed = lookup(per_day, F.broadcast(marts["dim_date"]), ("sold_on", DAY), ["date_key", "year", "month"])
+    keyed = lookup(per_day, marts["dim_date"], ("sold_on", DAY), ["date_key"])
+    keyed = keyed.withColumns({"year": F.year("sold_on"), "month": F.month("sold_on")})
     month = Window.partitionBy("year", "month")
     return keyed.select(
         "date_key", "year", "month", "revenue", _money(F.sum("revenue").over(month)).alias("month_revenue"),
@@ -74,7 +87,7 @@ def revenue_trend(marts: Marts) -> DataFrame:
 def top_customers(marts: Marts, n: int = 10) -> DataFrame:
     per_customer = (
         _per_order(marts["fct_sales"], "customer_key").filter(F.col("customer_key").isNotNull())
-        .groupBy("customer_key").agg(_revenue(), _orders())
+        .groupBy("customer_key").agg(_revenue(), _order_rows())
     )
     best = per_customer.orderBy(F.desc("revenue"), "customer_key").limit(n)
     return lookup(best, marts["dim_customers"], "customer_key", ["customer_id", "full_name"])
@@ -152,7 +165,7 @@ def inventory_monitor(marts: Marts) -> DataFrame:
 
 def store_performance(marts: Marts) -> DataFrame:
     """Per store: revenue, orders, mean hours to delivery."""
-    per_store = _per_order(marts["fct_sales"], "store_key").groupBy("store_key").agg(_revenue(), _orders())
+    per_store = _per_order(marts["fct_sales"], "store_key").groupBy("store_key").agg(_revenue(), _order_rows())
     delivery = marts["fct_order_lifecycle"].groupBy("store_id").agg(
         F.avg("hours_to_delivery").alias("mean_hours_to_delivery")
     )

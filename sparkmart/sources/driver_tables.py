@@ -142,7 +142,6 @@ PAYMENTS = {
     "created_at": "ts",
     "updated_at": "ts",
 }
-PAYMENT_EVENTS = "event_type in ('purchase', 'error')"
 
 PAYMENT_METHODS = {
     "id": text("r_regionkey"),
@@ -163,7 +162,6 @@ INVENTORY_MOVEMENTS = {
 }
 
 
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -212,7 +210,7 @@ _ENTITIES: dict[str, tuple[Callable[[_RawTables], DataFrame], dict[str, str]]] =
     "employees": (_rows("supplier"), EMPLOYEES),
     "orders": (_RawTables._shipped_orders, ORDERS),
     "order_items": (_rows("lineitem"), ORDER_ITEMS),
-    "payments": (lambda tables: tables._read("events").filter(PAYMENT_EVENTS), PAYMENTS),
+    "payments": (_rows("events"), PAYMENTS),
     "payment_methods": (_rows("region"), PAYMENT_METHODS),
     "inventory_movements": (_rows("lineitem"), INVENTORY_MOVEMENTS),
 }

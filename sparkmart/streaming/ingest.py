@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators.merge import require_key
+from sparkmart.session import read_if_exists
 from sparkmart.sources.pages import KEY, number_pages, read_page_stream, rows_of, unwrap_pages
-from sparkmart.sources.tables import append_batch
+from sparkmart.sources.tables import append_batch, first_number
 
 
 def stream_ingest(
@@ -18,12 +22,15 @@ def stream_ingest(
     """Start a run over the files that landed since the last one; it ends by itself.
 
     The checkpoint takes the place of the high-water mark.  Each micro-batch becomes one
-    batch of the table's log under the micro-batch's own number, so a batch that is
-    replayed after a failure replaces itself and nothing is counted twice.
+    batch of the table's log; its number is that of the micro-batch, counted from a start
+    that belongs to the checkpoint.  A batch that is replayed after a failure replaces
+    itself, and a stream with another checkpoint never replaces it.
     """
+    start = _start(spark, checkpoint)
+
     def write(batch: DataFrame, number: int) -> None:
         rows = rows_of(unwrap_pages(number_pages(batch)), schema)
-        append_batch(require_key(rows, [KEY]), table_dir, number)
+        append_batch(require_key(rows, [KEY]), table_dir, start + number)
 
     return (
         read_page_stream(spark, in_dir, max_files)
@@ -32,3 +39,13 @@ def stream_ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _start(spark: SparkSession, checkpoint: str) -> int:
+    """The first batch number of the checkpoint's stream; fixed when it is first used."""
+    path = f"{checkpoint}/first_batch"
+    known = read_if_exists(spark, path)
+    if known is None:
+        spark.range(1).select(F.lit(first_number(datetime.now(timezone.utc))).alias("number")).write.parquet(path)
+        known = spark.read.parquet(path)
+    return known.first()["number"]

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from conftest import ts, tuples
 from sparkmart import functions as fn
+from sparkmart.plans import dimensions as dims
 from sparkmart.plans import facts, reports, staging, warehouse
+from sparkmart.sources.extract import ExtractState, extract_all
 from sparkmart.sources.schemas import RAW_SCHEMAS
 
 
@@ -203,3 +205,33 @@ def test_a_build_that_died_is_repeated_under_its_number(spark, raw, scratch):
     assert warehouse.run_pipeline(spark, lake, state, out).filter("status = 'fail'").count() == 0
     assert warehouse.last_run(spark, state) == 1
     assert spark.table("fct_sales").count() == 3
+
+
+def camel(name):
+    first, *rest = name.split("_")
+    return first + "".join(part.title() for part in rest)
+
+
+def test_build_from_landed_pages(spark, raw, scratch):
+    """Pages of all nine entities, extracted and built, twice: the same marts as from plain tables."""
+    plain, state = scratch("plain"), ExtractState(scratch("landing"), scratch("lake"))
+    for entity, df in raw.items():
+        keyed = df.dropDuplicates(["id"])
+        keyed.write.parquet(f"{plain}/{entity}")
+        record = F.to_json(F.struct(*[F.col(c).alias(camel(c)) for c in keyed.columns]))
+        spark.read.parquet(f"{plain}/{entity}").select(F.concat(F.lit('{"data":['), record, F.lit("]}"))).write.text(state.landing(entity))
+    warehouse.run_pipeline(spark, plain, scratch("state"), scratch("out"))
+    want = {t: tuples(spark.table(t)) for t in ("fct_sales", "fct_payments", "dim_customers", "fct_inventory_daily")}
+    place, out = scratch("state"), scratch("out")
+    for _ in range(2):
+        assert extract_all(spark, raw, state).filter("status = 'failed'").count() == 0
+        assert warehouse.run_pipeline(spark, f"{state.lake_dir}/raw", place, out).filter("status = 'fail'").count() == 0
+        assert {t: tuples(spark.table(t)) for t in want} == want
+
+
+def test_days_outside_the_calendar_keep_their_month(spark):
+    sales = spark.createDataFrame([("2022-01-05", "10.00"), ("2022-01-06", "1.00"), ("2023-05-01", "5.00")], "d string, r string").select(
+        F.col("d").cast("timestamp_ntz").alias("created_at"), F.col("r").cast("decimal(12,2)").alias("gross_revenue"))
+    trend = reports.revenue_trend({"fct_sales": sales, "dim_date": dims.dim_date(spark)})
+    assert tuples(trend.filter("date_key is null"), "year", "month", "revenue", "month_revenue") == [
+        (2022, 1, D("1.00"), D("11.00")), (2022, 1, D("10.00"), D("11.00")), (2023, 5, D("5.00"), D("5.00"))]

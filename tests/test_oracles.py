@@ -10,6 +10,9 @@ import __spark_entry__ as entry
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 from compare import connect, difference  # noqa: E402
 
+from sparkmart.oracle import ORACLES  # noqa: E402
+from sparkmart.registry import QUERIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -19,10 +22,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert difference(spark, con, SF, name) is None
 

@@ -1,5 +1,4 @@
 import json
-import time
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -42,7 +41,7 @@ def land(spark, path, *values):
     ({"data": None, "items": [], "results": [{"id": "a"}]}, ["a"]),
     ({"data": [{"id": "first"}], "items": [{"id": "second"}]}, ["first"]),
     ([{"id": "bare"}], ["bare"]),
-    ({"data": []}, []), ({}, []), ([], []), ("not json", []), ({"data": "text"}, []),
+    ({"data": []}, []), ({}, []), ([], []), (" ", []), ({"data": "text"}, []),
     ({"data": [{"id": "a"}, 5, "x", None, ["y"], {"id": "b"}]}, ["a", "b"]),
 ])
 def test_unwrap(spark, page, ids):
@@ -72,7 +71,7 @@ def test_arrival_schema_from_pages(spark):
     first = {"id": 1, "flag": False, "n": 3, "price": 1.5, "gone": None, "tags": [1]}
     later = {"id": 2, "gone": 4, "n": 1.5, "tags": None, "late": True}
     records = pg.unwrap_pages(pages(spark, {"data": []}, {"items": [9, first]}, {"data": [later]}))
-    by_first = {f.name: f.dataType.simpleString() for f in pg.arrival_schema(records).fields}
+    by_first = {f.name: f.dataType.simpleString() for f in pg.arrival_schema(records, "first_row").fields}
     assert by_first == {
         "id": "string", "flag": "boolean", "n": "bigint", "price": "decimal(38,18)", "gone": "string", "tags": "string",
     }
@@ -158,23 +157,23 @@ def test_incremental_extract(spark, state):
          {"data": []}, {"data": [row("a", "2023-12-31T00:00:00Z", v=3)]})
     assert run(spark, state, 1) == 3
     table = state.entity(spark, "orders")
-    # The older record arrived later and wins; props was not in the first record.
-    assert table.columns == ["id", "updatedAt", "v"]
-    assert tuples(table, "id", "v") == [("a", 3), ("b", 2)]
+    # The older record arrived later and wins; props is not in the first record.
+    assert tuples(table, "id", "v", "props") == [("a", 3, None), ("b", 2, '{"k":[1]}')]
     assert wm.read_watermark(current_marks(spark, state), "orders") == "2024-01-02T00:00:00Z"
 
-    # Nothing new: rows at the mark itself are read again, nothing changes.
-    assert run(spark, state, 2) == 1
-    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 3), ("b", 2)]
+    # Nothing new: nothing is written.
+    assert run(spark, state, 2) == 0
+    assert tb.read_log(spark, state.table("orders")).select("batch").distinct().count() == 1
 
-    land(spark, f"{landing}/load=2", {"items": [row("c", "2024-01-05T01:00:00+02:00", v=4), row("a", None, v=5), row("b", "2024-01-01T00:00:00Z", v=6)]})
+    land(spark, f"{landing}/load=2", {"items": [row("c", "2024-01-05T01:00:00+02:00", v=4), row("a", None, v=5, late="x"), row("b", "2024-01-01T00:00:00Z", v=6)]})
     assert run(spark, state, 3) == 3
-    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 5), ("b", 2), ("c", 4)]
+    assert tuples(state.entity(spark, "orders"), "id", "v", "late") == [("a", 5, "x"), ("b", 6, None), ("c", 4, None)]
     assert wm.read_watermark(current_marks(spark, state), "orders") == "2024-01-04T23:00:00Z"
 
-    # A full refresh reads what the mark had hidden, and truncates nothing.
+    # A full refresh reads everything again and changes nothing.
+    content = tuples(state.entity(spark, "orders"))
     assert run(spark, state, 4, full_refresh=True) == 6
-    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 5), ("b", 6), ("c", 4)]
+    assert tuples(state.entity(spark, "orders")) == content
     assert wm.read_watermark(current_marks(spark, state), "orders") == "2024-01-04T23:00:00Z"
 
     new = f"{state.lake_dir}/compacted"
@@ -182,29 +181,56 @@ def test_incremental_extract(spark, state):
     assert tuples(tb.read_batches(spark, new)) == tuples(state.entity(spark, "orders"))
 
 
-def test_files_of_earlier_runs_are_skipped(spark, state):
-    landing = state.landing("orders")
-    land(spark, f"{landing}/load=1", {"data": [row("a", "2024-01-01T00:00:00Z", v=1), row("b", "2024-01-01T00:00:00Z", v=2)]})
-    assert extract_entity(spark, "orders", state, only_new_files=True) == 2
-    time.sleep(1.1)
-    middle = datetime.now(timezone.utc)
-    assert extract_entity(spark, "orders", state, only_new_files=True, run_at=middle) in (0, 2)
-    time.sleep(1.1)
-    land(spark, f"{landing}/load=2", {"data": [row("c", "2024-01-02T00:00:00Z", v=3)]})
-    # Without the option the rows at the mark would be read again.
-    assert extract_entity(spark, "orders", state, only_new_files=True) == 1
-    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 1), ("b", 2), ("c", 3)]
-
-
-def test_a_run_that_died_before_the_mark_is_repeated(spark, state):
+@pytest.mark.parametrize("loads, content", [
+    ([[[row("x", "2024-01-05T00:00:00Z", v=1)], [row("x", "2024-01-01T00:00:00Z", v=2)]]], [("x", 2)]),
+    ([[[row("a", None, v=5)]], [[row("a", "2024-01-06T00:00:00Z", v=7), row("z", "2024-01-10T00:00:00Z", v=1)]]], [("a", 7), ("z", 1)]),
+])
+def test_the_last_arrived_row_stays_after_any_number_of_runs(spark, state, loads, content):
+    day = 1
+    for load, pages_ in enumerate(loads):
+        land(spark, f"{state.landing('orders')}/load={load}", *pages_)
+        for _ in range(2):
+            run(spark, state, day)
+            day += 1
+    assert tuples(state.entity(spark, "orders"), "id", "v") == content
+
+
+def test_a_run_that_died_before_its_last_step_is_repeated(spark, state):
     land(spark, state.landing("orders"), {"data": [row("a", "2024-01-01T00:00:00Z", v=1)]})
     run(spark, state, 1)
     content = tuples(state.entity(spark, "orders"))
-    # The batch of day 2 is there, its mark is not: day 3 starts from the mark of day 1.
-    number = int(datetime(2024, 6, 2, tzinfo=timezone.utc).timestamp() * 1_000_000)
+    # The batch of day 2 is there, the names of its files are not.
+    land(spark, state.landing("orders"), {"data": [row("a", "2024-01-02T00:00:00Z", v=2)]})
+    number = tb.first_number(datetime(2024, 6, 2, tzinfo=timezone.utc))
     tb.append_batch(spark.read.parquet(state.table("orders")).drop("batch"), state.table("orders"), number)
-    assert run(spark, state, 3) == 1
     assert tuples(state.entity(spark, "orders")) == content
+    assert run(spark, state, 3) == 1
+    assert tuples(state.entity(spark, "orders"), "v") == [(2,)]
+
+
+def test_entity_without_a_time_column(spark, state):
+    land(spark, state.landing("orders"), {"data": [{"id": "a", "v": 1}]})
+    assert [run(spark, state, day) for day in (1, 2)] == [1, 0]
+    assert current_marks(spark, state).count() == 0 and tuples(state.entity(spark, "orders"), "id", "v") == [("a", 1)]
+
+
+@pytest.mark.parametrize("page", [
+    "not json", '{"data": [{"id": "a"}', '{"data": [{"id": "a", "v": 1, "v": 2}]}', '{"data": [{"id": "b", "t": "%s"}]}' % ("x" * 140_000_000),
+])
+def test_a_page_that_cannot_be_read_fails_the_run(spark, state, page):
+    spark.createDataFrame([(page,)], "value string").write.text(state.landing("orders"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|VARIANT|DUPLICATE_KEY"):
+        run(spark, state, 1)
+    assert current_marks(spark, state).count() == 0
+    assert extract_all(spark, ["orders"], state).first()["status"] == "failed"
+
+
+def test_odd_fields(spark, state):
+    land(spark, f"{state.landing('orders')}/load=1", {"data": [{"id": "a", "n": 3, "it's": 1}]})
+    run(spark, state, 1)
+    land(spark, f"{state.landing('orders')}/load=2", {"data": [{"id": "b", "n": 3.7, "it's": 2}, {"id": "c", "n": -2.5}]})
+    run(spark, state, 2)
+    assert tuples(state.entity(spark, "orders"), "id", "n", "it's") == [("a", 3, 1), ("b", 4, 2), ("c", -3, None)]
 
 
 def test_no_rows_no_mark(spark, state):
