@@ -200,6 +200,20 @@ def _line(expression: str) -> str:
     return f"select {_LINE}, {expression} from lineitem"
 
 
+#: Rows of each mart after a build over the first batches: one per key where the key is unique in it.
+_BUILT = {
+    "dim_customers": "select count(distinct customer_id) from stg_customers",
+    "dim_products": "select count(distinct product_id) from stg_products",
+    "dim_stores": "select count(distinct store_id) from stg_stores",
+    "dim_employees": "select count(distinct employee_id) from stg_employees",
+    "dim_payment_method": "select count(distinct payment_method_id) from stg_payment_methods",
+    "fct_sales": "select count(distinct order_item_id) from stg_order_items",
+    "fct_payments": "select count(*) from fct_payments",
+    "flagged_payments": "select count(*) from newest_payments where not amount_paid > 0",
+    "fct_order_lifecycle": "select count(distinct order_id) from stg_orders",
+}
+
+
 BODIES: dict[str, str] = {
     # ---- landed pages
     "unwrap_pages": 'select page, pos, id, "eventId", value from records',
@@ -377,10 +391,12 @@ BODIES: dict[str, str] = {
     "check_not_null": "select order_id, status, ordered_at from stg_orders where delivered_at is null",
     "check_relationships": "select store_id, count(*) as failures from stg_orders where store_id not in (select store_id from stg_stores) group by 1",
     "quality_report": _report(CHECKS + NATURAL_CHECKS),
-    "warehouse_build": _report(CHECKS),
-    "rerun_is_noop": """
-        select 'fct_sales' as model, count(distinct order_item_id) as rows, cast(0 as bigint) as changed from stg_order_items
-        union all select 'fct_payments', count(*), 0 from fct_payments""",
+    "warehouse_build": _report(CHECKS) + "".join(
+        f" union all select 'rows_{name}', ({count}), 'rows'" for name, count in _BUILT.items()
+    ),
+    "rerun_is_noop": " union all ".join(
+        f"select '{name}' as model, ({count}) as rows, cast(0 as bigint) as changed" for name, count in _BUILT.items()
+    ),
 }
 
 ORACLES = {name: _with(body) for name, body in BODIES.items()}

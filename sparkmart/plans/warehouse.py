@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators import Check, merge_by_key, quality_report, scd2_apply, scd2_step
 from sparkmart.operators.scd2 import VALID_TO
 from sparkmart.session import read_if_exists
-from sparkmart.sources.tables import append_batch, materialize, read_log, sources
+from sparkmart.sources.tables import append_batch, is_log, materialize, read_log, sources
 
 from . import dimensions as dims
 from . import facts
@@ -35,6 +35,7 @@ from .staging import STAGING
 #: Entity -> key of its type-2 history.
 SNAPSHOTS = {"customers": "customer_id", "products": "product_id"}
 
+# Keys and references of the marts' data tests.
 _KEYS = {
     "dim_customers": "customer_key",
     "dim_products": "product_key",
@@ -73,8 +74,9 @@ class Models(Mapping[str, DataFrame]):
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, DataFrame],
         histories: Mapping[str, DataFrame] | None = None, replaced: Mapping[str, DataFrame] | None = None,
+        days: tuple[str, str] = (dims.CALENDAR_START, dims.CALENDAR_END),
     ) -> None:
-        self.spark, self.raw, self.histories = spark, raw, histories
+        self.spark, self.raw, self.histories, self.days = spark, raw, histories, days
         self.built = dict(replaced or {})
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -109,7 +111,7 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "dim_stores": lambda m: dims.dim_stores(m["stg_stores"]),
     "dim_employees": lambda m: dims.dim_employees(m["stg_employees"]),
     "dim_payment_method": lambda m: dims.dim_payment_method(m["stg_payment_methods"]),
-    "dim_date": lambda m: dims.dim_date(m.spark),
+    "dim_date": lambda m: dims.dim_date(m.spark, *m.days),
     "fct_sales": lambda m: facts.fct_sales(*m.take(
         "stg_order_items", "stg_orders", "dim_customers", "dim_products", "dim_stores", "dim_employees")),
     "fct_payments": lambda m: facts.fct_payments(*m.take(
@@ -118,6 +120,13 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "fct_inventory_daily": lambda m: facts.fct_inventory_daily(m.raw["inventory_movements"]),
     "fct_order_lifecycle": lambda m: facts.fct_order_lifecycle(m["stg_orders"]),
 }
+#: Fact -> role of a date -> its column.
+DATE_ROLES = {
+    "fct_sales": {"sold": "created_at"},
+    "fct_payments": {"paid": "paid_at"},
+    "fct_inventory_daily": {"inventory": "inventory_date"},
+    "fct_order_lifecycle": {"ordered": "ordered_at", "shipped": "shipped_at", "delivered": "delivered_at"},
+}
 #: Models that are written; all others are views.
 TABLES = ("fct_sales", "fct_payments")
 
@@ -156,9 +165,17 @@ def snapshot_run(spark: SparkSession, state_dir: str, entity: str, staged: DataF
 
 
 def _load(spark: SparkSession, src_dir: str, state_dir: str, run: int) -> dict[str, DataFrame]:
-    """Merge the lake's tables into the warehouse's raw tables of this run."""
+    """The raw tables of this run.
+
+    A table that extraction keeps as a log of batches is its own raw table: a new batch
+    has cost its own size when it was appended, and folding the log gives what a merge
+    would.  Any other table is one whole batch, merged into those of the last run.
+    """
     merged = {}
     for entity, batch in sources(spark, src_dir).items():
+        if is_log(spark.read.parquet(f"{src_dir}/{entity}")):
+            merged[entity] = batch
+            continue
         target = spark.read.parquet(f"{state_dir}/raw/{RUN}={run - 1}/{entity}") if run > 1 else None
         newest = "updated_at" if "updated_at" in batch.columns else None
         path = f"{state_dir}/raw/{RUN}={run}/{entity}"
@@ -169,12 +186,14 @@ def _load(spark: SparkSession, src_dir: str, state_dir: str, run: int) -> dict[s
 
 def run_pipeline(
     spark: SparkSession, src_dir: str, state_dir: str, out_dir: str, read_from: str = "merged",
+    days: tuple[str, str] = (dims.CALENDAR_START, dims.CALENDAR_END), date_keys: bool = False,
 ) -> DataFrame:
     """Load, snapshot, build and check; returns the quality report.
 
     ``src_dir`` holds one Parquet table per entity.  A stage that fails raises, and
     nothing after it runs.  The two large facts are written under ``out_dir``; all other
-    models are temp views.
+    models are temp views.  ``days`` are the first and last day of the calendar;
+    ``date_keys`` adds to the facts the calendar's keys of their dates (``DATE_ROLES``).
     """
     run = last_run(spark, state_dir) + 1
     merged = _load(spark, src_dir, state_dir, run)
@@ -183,13 +202,17 @@ def run_pipeline(
     staged = Models(spark, raw)
     histories = {e: snapshot_run(spark, state_dir, e, staged[f"stg_{e}"], run) for e in SNAPSHOTS}
 
-    models = Models(spark, raw, histories)
+    models = Models(spark, raw, histories, days=days)
+    if date_keys:
+        for name, roles in DATE_ROLES.items():
+            models.built[name] = facts.fact_date_key(models[name], models["dim_date"], roles)
     month = F.year("created_at") * 100 + F.month("created_at")
     written = {
         name: materialize(models[name].withColumn(MONTH, month), name, "table", f"{out_dir}/{RUN}={run}/{name}", MONTH)
         for name in TABLES
     }
-    models = Models(spark, raw, histories, written)
+    keyed = {name: models[name] for name in DATE_ROLES if date_keys} | written
+    models = Models(spark, raw, histories, keyed, days)
     for name in models:
         if name not in TABLES:
             materialize(models[name], name)

@@ -1,6 +1,7 @@
 """Facts, reports and the whole build on a small hand-made shop."""
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -227,6 +228,11 @@ def test_build_from_landed_pages(spark, raw, scratch):
         assert extract_all(spark, raw, state).filter("status = 'failed'").count() == 0
         assert warehouse.run_pipeline(spark, f"{state.lake_dir}/raw", place, out).filter("status = 'fail'").count() == 0
         assert {t: tuples(spark.table(t)) for t in want} == want
+    # The lake's log is the raw table: the build copies nothing of it.
+    assert not (Path(place) / "raw").exists()
+    warehouse.run_pipeline(spark, f"{state.lake_dir}/raw", place, out, days=("2024-03-01", "2024-03-31"), date_keys=True)
+    assert tuples(spark.table("fct_sales"), "order_item_id", "sold_date_key")[0] == ("i1", 20240301)
+    assert {"ordered_date_key", "shipped_date_key"} <= set(spark.table("fct_order_lifecycle").columns)
 
 
 def test_days_outside_the_calendar_keep_their_month(spark):
