@@ -10,8 +10,8 @@ enough, are verified by a banded bit-parallel edit distance.
 A line goes if an equal line, or one within the threshold, occurs earlier; the order is
 (``doc_id``, position).  Lines under ``MIN_CHARS`` characters are compared for equality
 only, and lines without a word stay.  A line that a third of all rows hold is one row of
-the join; meetings at a very common segment are split by the join, filtered inside it, and
-only links leave it.  Blanks at a line's ends don't count.  NULL and empty texts lose
+the join; meetings at a very common segment are split by the join and filtered inside it
+by letter counts.  White space at a line's ends doesn't count.  NULL and empty texts lose
 nothing; rows that repeat a ``doc_id`` and text are treated alike; an empty table gives no
 rows.
 """
@@ -26,8 +26,12 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import cut
 
 THRESHOLD, MIN_CHARS = 2, 24
-#: Letters whose counts, modulo 16, are packed into one number: an edit changes two of them at most.
-LETTERS = "etaoinsrhlducm, "
+#: Letters whose counts tell lines apart that share a segment.
+LETTERS = "etaonrhsildu"
+#: White space at a line's ends, which doesn't count.
+BLANKS = " \t\x0b\x0c\r"
+#: Most keys of lines that are broadcast; with more of them the lines are shuffled to their keys.
+BROADCAST_KEYS = 1_000_000
 #: Bits of the edit distance's window; the band is 2 x ``THRESHOLD`` + 1 of them.
 WINDOW = 16
 _MASK = (1 << WINDOW) - 1
@@ -38,21 +42,36 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def has_word(line: Column) -> Column:
-    return F.translate(line, " \t\x0b\x0c\r", "") != ""
+def trimmed(line: Column) -> Column:
+    """A line without white space at its ends: empty if it has no word."""
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def lines(docs: DataFrame) -> DataFrame:
     """``doc_id, version, pos, line`` and the line's key ``a, b`` (96 bits) for every line with a word."""
     text = F.coalesce("text", F.lit(""))
     exploded = docs.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split(text, "\n")).alias("pos", "whole"))
-    return exploded.filter(has_word(F.col("whole"))).select("doc_id", "version", "pos", F.trim("whole").alias("line")).select(
-        "*", F.xxhash64("line").alias("a"), F.hash("line").alias("b"))
+    words = exploded.select("doc_id", "version", "pos", trimmed(F.col("whole")).alias("line")).filter("line <> ''")
+    return words.select("*", F.xxhash64("line").alias("a"), F.hash("line").alias("b"))
 
 
-def distinct_lines(every: DataFrame) -> DataFrame:
-    """``a, b, line, first``: each different line and where it occurs first."""
-    return every.groupBy("a", "b").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("times"))
+def distinct_lines(every: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``a, b, sketch`` and the signatures ``s0, s1, ...`` of each different line of at least ``min_chars`` characters.
+
+    The text itself isn't shuffled: what the join needs of it is computed where it is
+    read, as numbers, so equal lines are folded by a hash aggregate.
+    """
+    measured = every.select("a", "b", "line", F.length("line").alias("n")).filter(F.col("n") >= min_chars)
+    # a stretch around each segment, long enough for all places it can have
+    stretches = []
+    for i in range(threshold + 1):
+        start, size = segment(F.col("n") - threshold, i, threshold)
+        first = F.greatest(start - threshold, F.lit(0))
+        stretches += [first.alias(f"p{i}"), F.substring(F.col("line"), first + 1, size + 4 * threshold + 2).alias(f"t{i}")]
+    near = measured.select("a", "b", "n", sketch(F.col("line"), F.col("n")).alias("sketch"), *stretches)
+    signatures = [_signature(F.col("n") - less, i, shift, threshold).alias(f"s{k}") for k, (less, i, shift) in enumerate(places(threshold))]
+    told = near.select("a", "b", "sketch", *signatures)
+    return told.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in told.columns[2:]])
 
 
 def segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
@@ -74,21 +93,30 @@ def places(threshold: int) -> list[tuple[int, int, int]]:
 
 
 def _signature(length: Column, i: int, shift: int, threshold: int) -> Column:
+    """Of the segment ``i`` of a line of ``length``, looked for ``shift`` characters further on."""
     start, size = segment(length, i, threshold)
-    return F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start + shift + 1, size))
+    return F.xxhash64(length, F.lit(i), F.substring(F.col(f"t{i}"), start + shift - F.col(f"p{i}") + 1, size))
+
 
+def sketch(line: Column, length: Column) -> Column:
+    """Counts of :data:`LETTERS`, four bits each, above the length's last sixteen bits; each wraps around."""
+    each = [F.size(F.split(line, c)) % 16 for c in LETTERS]
+    parts = [length % 65536, *each]
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(part.cast("long"), at) for part, at in zip(parts, [0, *range(16, 64, 4)], strict=True)])
 
-def letter_counts(line: Column) -> Column:
-    """Counts of :data:`LETTERS`, four bits each."""
-    each = [F.shiftleft(((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))) % 16).cast("long"), 4 * k) for k, c in enumerate(LETTERS)]
-    return reduce(lambda x, y: x.bitwiseOR(y), each)
 
+def sketches_near(x: Column, y: Column, threshold: int) -> Column:
+    """Whether counts and lengths differ by no more than ``threshold`` edits can change: a necessary condition.
+
+    An edit changes two counts by one at most, and the length by one.
+    """
+    def apart(at: int, bits: int) -> Column:
+        size = 1 << bits
+        d = (F.shiftrightunsigned(x, at).bitwiseAND(size - 1) - F.shiftrightunsigned(y, at).bitwiseAND(size - 1)).bitwiseAND(size - 1)
+        return F.least(d, size - d)
 
-def counts_near(x: Column, y: Column, threshold: int) -> Column:
-    """Whether no more letters differ in their counts than ``threshold`` edits can change."""
-    apart = x.bitwiseXOR(y)
-    any_bit = reduce(lambda p, q: p.bitwiseOR(q), [F.shiftrightunsigned(apart, k) for k in range(4)])
-    return F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111))) <= 2 * threshold
+    counts = reduce(lambda p, q: p + q, [apart(at, 4) for at in range(16, 64, 4)])
+    return (apart(0, 16) <= threshold) & (counts <= 2 * threshold)
 
 
 def within_distance(long: Column, short: Column, threshold: int) -> Column:
@@ -99,7 +127,7 @@ def within_distance(long: Column, short: Column, threshold: int) -> Column:
     ``short``: its vertical differences are two bit vectors, and the distance is followed
     down the window's lower edge, then along the last row.
     """
-    def trimmed(x: Column, y: Column) -> Column:
+    def apart(x: Column, y: Column) -> Column:
         """The arrays without their common prefix, reversed (so that a second call drops the suffix)."""
         same = F.array_position(F.zip_with(x, y, lambda p, q: F.coalesce(p != q, F.lit(True))), F.lit(True))
         start = F.when(same == 0, F.size(x) + 1).otherwise(same).cast("int")
@@ -108,7 +136,7 @@ def within_distance(long: Column, short: Column, threshold: int) -> Column:
             F.reverse(F.slice(y, start, F.greatest(F.size(y) - start + 1, F.lit(0)))).alias("y")))
 
     both = F.struct(F.split(long, "").alias("x"), F.split(short, "").alias("y"))
-    ends = _bind(_bind(both, lambda s: trimmed(s["x"], s["y"])), lambda s: trimmed(s["x"], s["y"]))
+    ends = _bind(_bind(both, lambda s: apart(s["x"], s["y"])), lambda s: apart(s["x"], s["y"]))
     return _bind(ends, lambda s: _banded(s["x"], s["y"], threshold) <= threshold)
 
 
@@ -145,34 +173,46 @@ def _banded(x: Column, y: Column, threshold: int) -> Column:
     return F.when(F.size(x) - F.size(y) > threshold, F.lit(threshold + 1)).when(F.size(y) == 0, F.size(x)).otherwise(some)
 
 
-def line_links(different: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``p, q``: pairs of different lines (structs of key and first place) within ``threshold`` edits, once each."""
-    measured = different.select("a", "b", "line", F.length("line").alias("n")).filter(F.col("n") >= min_chars).withColumn("letters", letter_counts(F.col("line")))
-    kept = ["a", "b", "n", "letters"]
-    index = [_signature(F.col("n"), i, 0, threshold) for i in range(threshold + 1)]
-    probes = [_signature(F.col("n") - less, i, shift, threshold) for less, i, shift in places(threshold)]
-    entries = measured.select(*[F.col(c).alias(f"{c}2") for c in kept], F.explode(F.array(*index)).alias("signature"))
-    asks = measured.select(*kept, F.explode(F.array_distinct(F.array(*probes))).alias("signature"))
-    # lines of one length ask each other: one direction is enough
-    once = (F.col("n") > F.col("n2")) | (F.struct("a", "b") > F.struct("a2", "b2"))
-    near = counts_near(F.col("letters"), F.col("letters2"), threshold) & (F.col("n") - F.col("n2") <= threshold)
-    met = asks.join(entries, "signature").filter(once & near).select("a", "b", "a2", "b2").distinct()
-    texts = different.select("a", "b", "line", "first")
-    other = texts.toDF("a2", "b2", "line2", "first2")
-    pairs = met.join(texts, ["a", "b"]).join(other, ["a2", "b2"])
-    return pairs.filter(within_distance(F.col("line"), F.col("line2"), threshold)).select("a", "b", "first", "a2", "b2", "first2")
+def candidates(different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``a, a2``: keys of lines that share a segment where they can and whose sketches are near, the longer one first."""
+    every = [f"s{k}" for k in range(len(places(threshold)))]
+    own = [f"s{places(threshold).index((0, i, 0))}" for i in range(threshold + 1)]
+    entries = different.select(F.col("a").alias("a2"), F.col("sketch").alias("sketch2"), F.explode(F.array(*own)).alias("signature"))
+    asks = different.select("a", "sketch", F.explode(F.array(*every)).alias("signature"))
+    near = sketches_near(F.col("sketch"), F.col("sketch2"), threshold)
+    # either of two lines of one length finds the other: one direction is enough
+    length = lambda c: F.col(c).bitwiseAND(65535)
+    once = (length("sketch") != length("sketch2")) | (F.col("a") > F.col("a2"))
+    return asks.join(entries, "signature").filter(near & once).select("a", "a2").distinct()
+
+
+def line_links(every: DataFrame, different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``a, b, a2, b2``: keys of different lines within ``threshold`` edits, once a pair."""
+    pairs = candidates(different, threshold).select(F.greatest("a", "a2").alias("a"), F.least("a", "a2").alias("a2")).distinct()
+    pairs = cut(pairs, "candidates")
+    wanted = cut(pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct(), "wanted")
+    # texts of the few lines that have a candidate; documents stay where they are while that is so
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    texts = cut(every.select("a", "b", "line").join(wanted, "a", "left_semi").groupBy("a", "b").agg(F.first("line").alias("line")), "texts")
+    met = pairs.join(texts, "a").join(texts.toDF("a2", "b2", "line2"), "a2")
+    longer = F.length("line") >= F.length("line2")
+    ordered = met.select("a", "b", "a2", "b2", F.when(longer, F.col("line")).otherwise(F.col("line2")).alias("x"), F.when(longer, F.col("line2")).otherwise(F.col("line")).alias("y"))
+    return ordered.filter(within_distance(F.col("x"), F.col("y"), threshold)).select("a", "b", "a2", "b2")
 
 
 def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
     """(lines, ``a, b, first, links, near`` of the lines that repeat or have a link)."""
     every = lines(docs)
-    different = distinct_lines(every)
-    links = cut(line_links(different, threshold, min_chars), "line_links")
-    ends = links.select("a", "b", (F.col("first2") < F.col("first")).alias("later")).unionByName(
-        links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), (F.col("first") < F.col("first2")).alias("later")))
-    linked = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("links"), F.max("later").alias("near"))
-    told = distinct_lines(every.withColumn("line", F.lit(0))).select("a", "b", "first", "times").join(linked, ["a", "b"], "left")
-    told = told.filter((F.col("times") > 1) | F.col("links").isNotNull())
+    different = distinct_lines(every, threshold, min_chars)
+    links = cut(line_links(every, different, threshold), "line_links")
+    places_ = every.groupBy("a", "b").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("times"))
+    ends = links.unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("a").alias("a2"), F.col("b").alias("b2")))
+    linked = ends.select("a", "b").distinct()
+    told = cut(places_.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").filter("times > 1 OR linked"), "repeated_lines")
+    firsts = told.filter("linked").select("a", "b", "first")
+    later = ends.join(firsts, ["a", "b"]).join(firsts.toDF("a2", "b2", "first2"), ["a2", "b2"]).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("links"), F.max(F.col("first2") < F.col("first")).alias("near"))
+    told = told.join(later, ["a", "b"], "left")
     return every, told.select("a", "b", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("near", F.lit(False)).alias("near"))
 
 
@@ -211,5 +251,5 @@ def without_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_char
     told = _with_removals(keyed, removals(docs.select("doc_id", "text"), threshold, min_chars))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("removed"), i)), "\n")
     lost = F.size(F.coalesce("removed", F.array().cast("array<int>"))) > 0
-    told = told.withColumn("text", F.when(lost, left).otherwise(F.col("text"))).filter(~lost | has_word(F.translate("text", "\n", " ")))
+    told = told.withColumn("text", F.when(lost, left).otherwise(F.col("text"))).filter(~lost | (F.btrim("text", F.lit(BLANKS + "\n")) != ""))
     return told.select(*[F.col("_kept").alias(c) if c == "version" else F.col(c) for c in columns])

@@ -44,9 +44,10 @@ FROM judged
 _LINE_DEDUP = r"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 every AS (
-  SELECT row, doc_id, pos - 1 AS pos, trim(ls[pos]) AS line
+  SELECT row, doc_id, pos - 1 AS pos, regexp_replace(ls[pos], '^[\x20\x09\x0B-\x0D]+|[\x20\x09\x0B-\x0D]+$', '', 'g') AS line
   FROM (SELECT row, doc_id, ls, unnest(generate_series(1, len(ls))) AS pos FROM docs)
-  WHERE regexp_matches(ls[pos], '[^ 	-]')),
+  WHERE regexp_matches(ls[pos], '[^ 	-
+]')),
 different AS (
   SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first, length(line) AS n,
     length(replace(line, 'e', '')) AS e, length(replace(line, 't', '')) AS t, length(replace(line, 'n', '')) AS m,
