@@ -31,7 +31,7 @@ from sparkmart.llm.common import cut
 TREES, BITS, SEED = 24, 62, 42
 #: Lengths of prefixes at which an ascent pauses, and the chance of missing a neighbour at which it ends.
 LEVELS = (62, 50, 40, 32, 26, 22, 18, 15, 13, 11, 9, 8, 7, 6, 5, 4, 3, 2, 1, 0)
-MISS = 0.08
+MISS = 0.05
 #: Entries of a block, queries of a block, and scores in memory at once, about.
 BLOCK_ROWS, ASK_ROWS, SCORES = 16_384, 2_048, 2_000_000
 
