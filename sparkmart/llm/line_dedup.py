@@ -175,10 +175,11 @@ def _banded(x: Column, y: Column, threshold: int) -> Column:
 
 def candidates(different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``a, a2``: keys of lines that share a segment where they can and whose sketches are near, the longer one first."""
-    every = [f"s{k}" for k in range(len(places(threshold)))]
-    own = [f"s{places(threshold).index((0, i, 0))}" for i in range(threshold + 1)]
-    entries = different.select(F.col("a").alias("a2"), F.col("sketch").alias("sketch2"), F.explode(F.array(*own)).alias("signature"))
-    asks = different.select("a", "sketch", F.explode(F.array(*every)).alias("signature"))
+    own = [places(threshold).index((0, i, 0)) for i in range(threshold + 1)]
+    every = F.array(*[f"s{k}" for k in sorted(range(len(places(threshold))), key=lambda k: k not in own)])
+    # both sides read all signatures, so that they are one exchange and computed once
+    entries = different.select(F.col("a").alias("a2"), F.col("sketch").alias("sketch2"), F.explode(F.slice(every, 1, len(own))).alias("signature"))
+    asks = different.select("a", "sketch", F.explode(every).alias("signature"))
     near = sketches_near(F.col("sketch"), F.col("sketch2"), threshold)
     # either of two lines of one length finds the other: one direction is enough
     length = lambda c: F.col(c).bitwiseAND(65535)
@@ -246,10 +247,13 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
 
 def without_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs``, same columns, without the lines that go.  A document of which no word is left goes too."""
-    columns = docs.columns
-    keyed = docs.withColumn("version", F.xxhash64("text")) if "version" not in columns else docs.withColumnRenamed("version", "_kept").withColumn("version", F.xxhash64("text"))
-    told = _with_removals(keyed, removals(docs.select("doc_id", "text"), threshold, min_chars))
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("removed"), i)), "\n")
+    texts = docs.select("doc_id", "text")
+    # the row is carried as one value: none of its columns can meet a name used here
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("version"))
+    told = _with_removals(keyed, removals(texts, threshold, min_chars))
+    text = F.col("row.text")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("removed"), i)), "\n")
     lost = F.size(F.coalesce("removed", F.array().cast("array<int>"))) > 0
-    told = told.withColumn("text", F.when(lost, left).otherwise(F.col("text"))).filter(~lost | (F.btrim("text", F.lit(BLANKS + "\n")) != ""))
-    return told.select(*[F.col("_kept").alias(c) if c == "version" else F.col(c) for c in columns])
+    new = told.select("row", lost.alias("lost"), F.when(lost, left).otherwise(text).alias("text"))
+    kept = new.filter(~F.col("lost") | (F.btrim("text", F.lit(BLANKS + "\n")) != ""))
+    return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
