@@ -197,7 +197,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
     if not total:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     places = Places(packing_plan(need, rounds))
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(-(-total // BUCKET_PIECES))).cast("int")
+    # documents without an id are told apart by their content: together they can be many
+    own = F.when(F.col("doc_id").isNull(), F.col("ids_crc32"))
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", own), F.lit(-(-total // BUCKET_PIECES))).cast("int")
     keyed = pieces.withColumn("_bucket", bucket)
     before = F.sum("count").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     sizes = keyed.groupBy("length", "_bucket").count().select("length", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))

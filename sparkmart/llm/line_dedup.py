@@ -55,6 +55,11 @@ def lines(docs: DataFrame) -> DataFrame:
     return words.select("*", F.xxhash64("line").alias("a"), F.hash("line").alias("b"))
 
 
+def place() -> Column:
+    """Where a line stands: different texts with one ``doc_id``, or with none, are different documents."""
+    return F.struct("doc_id", "pos", "version")
+
+
 def distinct_lines(every: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """``a, b, sketch`` and the signatures ``s0, s1, ...`` of each different line of at least ``min_chars`` characters.
 
@@ -206,7 +211,7 @@ def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     every = lines(docs)
     different = distinct_lines(every, threshold, min_chars)
     links = cut(line_links(every, different, threshold), "line_links")
-    places_ = every.groupBy("a", "b").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("times"))
+    places_ = every.groupBy("a", "b").agg(F.min(place()).alias("first"), F.count(F.lit(1)).alias("times"))
     ends = links.unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("a").alias("a2"), F.col("b").alias("b2")))
     linked = ends.select("a", "b").distinct()
     told = cut(places_.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").filter("times > 1 OR linked"), "repeated_lines")
@@ -221,7 +226,7 @@ def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     """``doc_id, version, removed`` (positions), ``n_exact, n_near, n_links`` of documents with a line to remove or a link."""
     every, told = verdicts(docs, threshold, min_chars)
     met = every.select("doc_id", "version", "pos", "a", "b").join(told, ["a", "b"])
-    exact = ~F.struct("doc_id", "pos").eqNullSafe(F.col("first"))
+    exact = ~place().eqNullSafe(F.col("first"))
     marked = met.select("doc_id", "version", "pos", exact.alias("exact"), (~exact & F.col("near")).alias("near"), "links")
     gone = F.when(F.col("exact") | F.col("near"), F.col("pos"))
     # rows that repeat a document are one here

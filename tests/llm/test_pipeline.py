@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkmart.llm import secret_scan, simhash_tiles, tokenizer_memo
+from sparkmart.llm import line_dedup, secret_scan, simhash_tiles, tokenizer_memo
 from sparkmart.llm.oracle import ORACLES
 from sparkmart.llm.queries import QUERIES
 from tests.llm.helpers import EDGE_TEXTS, frame, saved
@@ -84,3 +84,21 @@ def test_query_equals_its_sql(spark, name):
     columns = [c[0] for c in want.description]
     assert df.columns == columns
     assert sorted(tuple(r) for r in df.collect()) == sorted(want.fetchall())
+
+
+def test_different_documents_stay_whatever_their_ids(spark):
+    rng = random.Random(3)
+    own = lambda: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(6)) for _ in range(80))
+    root, unique, one, two, three = (own() for _ in range(5))
+    near = f"{root} end"
+    rows = [(1, root), (2, near), (2, unique), (3, one), (3, two), (None, three), (None, own()), (None, three), (None, near), (3, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect())
+    assert left == sorted({(i or 0, t) for i, t in rows if t != near})
+
+
+def test_equal_lines_of_documents_with_one_id_or_none_are_repeats(spark):
+    line = "a line that stands in several documents at one place"
+    docs = spark.createDataFrame([(None, f"{line}\nx"), (None, f"{line}\ny"), (7, f"{line}\nz"), (7, f"{line}\nv")], "doc_id long, text string")
+    left = [r["text"] for r in line_dedup.without_repeated_lines(docs).collect()]
+    assert sum(line in t for t in left) == 1 and len(left) == 4
