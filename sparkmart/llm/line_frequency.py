@@ -6,7 +6,8 @@ lines are counted per host by different texts, folded before the shuffle, so a h
 third of all documents and a line they all share are one row per task.  Lines of more
 than ``MIN_DOCUMENTS`` texts of a host, and of more than ``MAX_SHARE`` of its texts, are
 above the limits.  A document that keeps less than ``MIN_LEFT`` of its words without them
-is depleted and rejected.  Copies of one text count once: they are left to deduplication.
+is depleted and rejected; ``without_frequent_lines`` gives the texts of the others without
+them.  Copies of one text count once: they are left to deduplication.
 
 NULL and empty texts have no words and fail the base rules.  A NULL host is a host of its
 own.  Repeated rows give repeated results; an empty table gives no rows.
@@ -110,8 +111,11 @@ def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text") ->
     return often.filter(F.col("n") > MAX_SHARE * F.col("texts")).groupBy("host").agg(F.collect_list("h").alias("hs"))
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """All columns of ``docs``, the base counts, ``base_failed``, ``left_share`` and ``kept``."""
+def judge(docs: DataFrame, host: str = "source", text: str = "text", clean: bool = False) -> DataFrame:
+    """All columns of ``docs``, the base counts, ``base_failed``, ``left_share`` and ``kept``.
+
+    With ``clean``, also ``clean_text``: the text without the lines above the limits.
+    """
     lines = cut(frequent_lines(docs, host, text), "frequent_lines").toDF("_host", "_above")
     # documents stay where they are while the hosts with such lines are few
     lines = F.broadcast(lines) if lines.count() <= BROADCAST_HOSTS else lines
@@ -122,5 +126,17 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFram
         return F.coalesce(F.try_divide(words_of(F.filter(lines, lambda x: ~F.array_contains(F.col("_above"), x["h"]))), words_of(lines)), F.lit(1.0))
 
     share = F.when(F.col("_above").isNull(), F.lit(1.0)).otherwise(_let(_lines(F.col(text)), left_share))
-    judged = judged.withColumn("left_share", share).drop("_host", "_above")
+    judged = judged.withColumn("left_share", share)
+    if clean:
+        stays = lambda line: (F.trim(line) == "") | ~F.array_contains(F.col("_above"), F.xxhash64(normalised(line)))
+        left = F.array_join(F.filter(F.split(F.col(text), "\n"), stays), "\n")
+        judged = judged.withColumn("clean_text", F.when(F.col("_above").isNull(), F.col(text)).otherwise(left))
+    judged = judged.drop("_host", "_above")
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("left_share") >= MIN_LEFT))
+
+
+def without_frequent_lines(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """``docs``, same columns, without the lines above the limits of their host and without rejected documents."""
+    carried = docs.select(F.struct(*docs.columns).alias("row"))
+    kept = judge(carried, f"row.`{host}`", f"row.`{text}`", clean=True).filter("kept")
+    return kept.select(*[F.col("clean_text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

@@ -138,6 +138,19 @@ def test_documents_of_common_lines_only_are_rejected_and_copies_kept(spark):
     assert all(kept[i] for i in range(30)) and not any(kept[i] for i in range(30, 35)) and all(kept[i] for i in range(35, 235))
 
 
+def test_frequent_lines_are_taken_out_of_the_texts_that_stay(spark):
+    rng = random.Random(6)
+    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(25))
+    common, owns = "Menu of host number 1", [own() for _ in range(30)]
+    texts = [f"{common}\n{x}\n\n {common.upper().replace('1', '7')} " for x in owns]
+    docs = frame(spark, [*texts, common, *texts[:2], None], ["a"] * 31 + ["b", None, "a"]).withColumn("kept", F.lit("x"))
+    left = line_frequency.without_frequent_lines(docs)
+    assert left.columns == docs.columns
+    # another host, and none, have no frequent line
+    want = {i: f"{x}\n" for i, x in enumerate(owns)} | {31: texts[0], 32: texts[1]}
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == want
+
+
 # -- secrets --------------------------------------------------------------------------------
 
 
