@@ -11,7 +11,12 @@ A line goes if an equal line, or one within the threshold, occurs earlier; the o
 (``doc_id``, position).  Lines under ``MIN_CHARS`` characters are compared for equality
 only, and lines without a word stay.  A line that a third of all rows hold is one row of
 the join; meetings at a very common segment are split by the join and filtered inside it
-by letter counts.  White space at a line's ends doesn't count.  NULL and empty texts lose
+by letter counts.
+
+With ``words_each`` the threshold also grows with the length: a line of ``MIN_WORDS`` words
+or more goes, too, if an earlier one is within one edited (replaced, inserted or deleted)
+word per ``words_each`` words begun of the longer one.  Word pairs take the place of
+segments (``word_lines``), the exact edit distance of the words decides.  White space at a line's ends doesn't count.  NULL and empty texts lose
 nothing; rows that repeat a ``doc_id`` and text are treated alike; an empty table gives no
 rows.
 """
@@ -23,9 +28,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import cut
+from sparkmart.llm.common import cut, words
 
 THRESHOLD, MIN_CHARS = 2, 24
+#: Lines of at least so many words are near, if asked for, within one edited word per ``WORDS_EACH`` begun.
+MIN_WORDS, WORDS_EACH = 10, 20
+#: A word sketch: parities of words in so many bits, then the number of words up to a limit, then a mark.
+_PARITIES, _MOST_WORDS = 51, 4095
 #: Letters whose counts tell lines apart that share a segment.
 LETTERS = "etaonrhsildu"
 #: White space at a line's ends, which doesn't count.
@@ -206,7 +215,91 @@ def line_links(every: DataFrame, different: DataFrame, threshold: int = THRESHOL
     return ordered.filter(within_distance(F.col("x"), F.col("y"), threshold)).select("a", "b", "a2", "b2")
 
 
-def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+def word_edits(n: Column, words_each: int) -> Column:
+    """Edited words that make no difference, for a pair whose longer line has ``n`` words."""
+    return F.ceil(n / words_each).cast("int")
+
+
+def word_lines(every: DataFrame, words_each: int) -> DataFrame:
+    """``a, b, first, sketch, signatures`` of each different line of at least ``MIN_WORDS`` words.
+
+    An edited word changes two word pairs at most.  Of two lines within ``k`` of them, each
+    has at most 2 ``k`` different pairs that the other one lacks, so the first 2 ``k`` + 1
+    of both, in any common order, meet.  The order is longest first, as long pairs are rare.
+    """
+    split = every.select("a", "b", place().alias("first"), words(F.col("line")).alias("ws")).withColumn("n", F.size("ws")).filter(F.col("n") >= MIN_WORDS)
+
+    def pair(x: Column, y: Column) -> Column:
+        size = F.least(F.octet_length(x) + F.octet_length(y), F.lit(127))
+        return F.call_function("shiftleft", (127 - size).cast("long"), F.lit(56)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(x, y), 8))
+
+    pairs = F.zip_with(F.slice("ws", F.lit(1), F.col("n") - 1), F.slice("ws", F.lit(2), F.col("n") - 1), pair)
+    # the longer partner's edits are no more than these
+    most = 2 * (F.floor(F.col("n") / (words_each - 1)).cast("int") + 1) + 1
+    parities = F.aggregate("ws", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(w), F.lit(_PARITIES)))))
+    n = F.shiftleft(F.least(F.col("n"), F.lit(_MOST_WORDS)).cast("long"), _PARITIES)
+    told = split.select("a", "b", "first", parities.bitwiseOR(n).alias("sketch"), F.slice(F.sort_array(F.array_distinct(pairs)), F.lit(1), most).alias("signatures"))
+    return told.groupBy("a", "b").agg(F.min("first").alias("first"), F.first("sketch").alias("sketch"), F.first("signatures").alias("signatures"))
+
+
+def word_sketches_near(x: Column, y: Column, words_each: int) -> Column:
+    """Whether numbers and parities of words differ by no more than the edits can change: a necessary condition."""
+    size = lambda c: F.shiftrightunsigned(c, _PARITIES).bitwiseAND(_MOST_WORDS).cast("int")
+    longer = F.greatest(size(x), size(y))
+    edits = word_edits(longer, words_each)
+    flips = F.bit_count(x.bitwiseXOR(y).bitwiseAND((1 << _PARITIES) - 1))
+    return (longer == _MOST_WORDS) | ((F.abs(size(x) - size(y)) <= edits) & (flips <= 2 * edits))
+
+
+def words_within(x: Column, y: Column, words_each: int) -> Column:
+    """Whether two lines, as arrays of words, are within their edits; each different word is one character."""
+    def told(all_: Column) -> Column:
+        def spelt(some: Column) -> Column:
+            codes = F.transform(some, lambda w: F.lpad(F.hex(F.array_position(all_, w) + 0xFFFF), 8, "0"))
+            return F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
+        return F.call_function("levenshtein", spelt(x), spelt(y), word_edits(F.greatest(F.size(x), F.size(y)), words_each)) >= 0
+
+    return _bind(F.array_distinct(F.concat(x, y)), told)
+
+
+def _confirmed(every: DataFrame, met: DataFrame, known: DataFrame, words_each: int) -> DataFrame:
+    """``a, b`` of the lines of ``met`` (``a, a2``) that come after their partner and are near it."""
+    firsts = known.select("a", "b", "first")
+    pairs = met.distinct().join(firsts, "a").join(firsts.toDF("a2", "b2", "first2"), "a2").filter("first2 < first")
+    pairs = cut(pairs.select("a", "b", "a2", "b2"), "word_pairs")
+    wanted = cut(pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct(), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    texts = every.select("a", "b", "line").join(wanted, "a", "left_semi").groupBy("a", "b").agg(F.first("line").alias("line"))
+    texts = cut(texts.select("a", "b", words(F.col("line")).alias("ws")), "texts")
+    both = pairs.join(texts, ["a", "b"]).join(texts.toDF("a2", "b2", "ws2"), ["a2", "b2"])
+    return both.filter(words_within(F.col("ws"), F.col("ws2"), words_each)).select("a", "b").distinct()
+
+
+def repeated_by_words(every: DataFrame, words_each: int) -> DataFrame:
+    """``a, b`` of the lines that have an earlier one within their edited words.
+
+    Each line first meets the earliest one at its first two word pairs.  That settles
+    nearly all of a large group of near copies; only lines that are not settled ask on, at
+    all their pairs, so a group's pairs are not all made.
+    """
+    known = cut(word_lines(every, words_each), "word_lines")
+    two = known.select("a", "first", "sketch", F.explode(F.slice("signatures", 1, 2)).alias("signature"))
+    heads = two.groupBy("signature").agg(F.min(F.struct("first", "a", "sketch")).alias("head"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    near = word_sketches_near(F.col("sketch"), F.col("head.sketch"), words_each)
+    met = two.join(heads, "signature").filter((F.col("a") != F.col("head.a")) & near).select("a", F.col("head.a").alias("a2"))
+    settled = cut(_confirmed(every, met, known, words_each), "settled")
+    marks = settled.withColumn("settled", F.lit(True))
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_KEYS else marks
+    # the mark is the sketch's sign, so that both sides are one exchange
+    sketch_ = F.when(F.col("settled"), F.col("sketch").bitwiseOR(-(1 << 63))).otherwise(F.col("sketch"))
+    entries = known.join(marks, ["a", "b"], "left").select("a", sketch_.alias("sketch"), F.explode("signatures").alias("signature"))
+    near = word_sketches_near(F.col("sketch"), F.col("sketch2"), words_each)
+    met = entries.join(entries.toDF("a2", "sketch2", "signature"), "signature").filter((F.col("sketch") >= 0) & (F.col("a") != F.col("a2")) & near).select("a", "a2")
+    return settled.unionByName(cut(_confirmed(every, met, known, words_each), "settled"))
+
+
+def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, ``a, b, first, links, near`` of the lines that repeat or have a link)."""
     every = lines(docs)
     different = distinct_lines(every, threshold, min_chars)
@@ -214,17 +307,22 @@ def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
     places_ = every.groupBy("a", "b").agg(F.min(place()).alias("first"), F.count(F.lit(1)).alias("times"))
     ends = links.unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("a").alias("a2"), F.col("b").alias("b2")))
     linked = ends.select("a", "b").distinct()
-    told = cut(places_.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").filter("times > 1 OR linked"), "repeated_lines")
+    worded = F.lit(False)
+    if words_each:
+        places_ = places_.join(repeated_by_words(every, words_each).withColumn("worded", F.lit(True)), ["a", "b"], "left")
+        worded = F.coalesce("worded", F.lit(False))
+    told = places_.withColumn("worded", worded).join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
+    told = cut(told.filter("times > 1 OR linked OR worded"), "repeated_lines")
     firsts = told.filter("linked").select("a", "b", "first")
     later = ends.join(firsts, ["a", "b"]).join(firsts.toDF("a2", "b2", "first2"), ["a2", "b2"]).groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("links"), F.max(F.col("first2") < F.col("first")).alias("near"))
     told = told.join(later, ["a", "b"], "left")
-    return every, told.select("a", "b", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("near", F.lit(False)).alias("near"))
+    return every, told.select("a", "b", "first", F.coalesce("links", F.lit(0)).alias("links"), (F.coalesce("near", F.lit(False)) | F.col("worded")).alias("near"))
 
 
-def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> DataFrame:
     """``doc_id, version, removed`` (positions), ``n_exact, n_near, n_links`` of documents with a line to remove or a link."""
-    every, told = verdicts(docs, threshold, min_chars)
+    every, told = verdicts(docs, threshold, min_chars, words_each)
     met = every.select("doc_id", "version", "pos", "a", "b").join(told, ["a", "b"])
     exact = ~place().eqNullSafe(F.col("first"))
     marked = met.select("doc_id", "version", "pos", exact.alias("exact"), (~exact & F.col("near")).alias("near"), "links")
@@ -250,12 +348,12 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     return told.select("doc_id", "n_lines", zero("n_exact"), zero("n_near"), zero("n_links"), removed.alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> DataFrame:
     """``docs``, same columns, without the lines that go.  A document of which no word is left goes too."""
     texts = docs.select("doc_id", "text")
     # the row is carried as one value: none of its columns can meet a name used here
     keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("version"))
-    told = _with_removals(keyed, removals(texts, threshold, min_chars))
+    told = _with_removals(keyed, removals(texts, threshold, min_chars, words_each))
     text = F.col("row.text")
     left = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("removed"), i)), "\n")
     lost = F.size(F.coalesce("removed", F.array().cast("array<int>"))) > 0

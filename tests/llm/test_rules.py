@@ -104,6 +104,27 @@ def test_line_join_is_native_and_pairs_of_a_hot_segment_stay_inside_it(spark):
     assert links.count() < len(variants)
 
 
+def test_lines_with_replaced_words_go(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 10)))
+    lines = [[word() for _ in range(n)] for n in (10, 15, 21, 40, 41, 60, 150, 400)] + [["ab", "cd"] * 15]
+    for line in list(lines):
+        for edits in (1, 2, 3, 5, 8, 20, 25):
+            new = list(line)
+            for _ in range(edits):
+                kind, at = rng.randrange(3), rng.randrange(len(new) - 1)
+                new[at : at + (kind > 0)] = [word() + "x"] * (kind < 2)
+            lines.append(new)
+    rng.shuffle(lines)
+    texts = [" ".join(x) for x in lines]
+    left = line_dedup.without_repeated_lines(frame(spark, texts), words_each=20)
+    earlier = lambda i: any(
+        min(len(lines[i]), len(lines[j])) >= 10 and abs(len(lines[i]) - len(lines[j])) <= (k := -(-max(len(lines[i]), len(lines[j])) // 20))
+        and distance(lines[i], lines[j]) <= k or distance(texts[i][:300], texts[j][:300]) <= 2 and distance(texts[i], texts[j]) <= 2 for j in range(i) if abs(len(texts[i]) - len(texts[j])) < 300)
+    want = [i for i in range(len(texts)) if not earlier(i)]
+    assert sorted(r["doc_id"] for r in left.collect()) == want and len(want) < len(texts) - 20
+
+
 # -- quality rules --------------------------------------------------------------------------
 
 
