@@ -4,7 +4,9 @@ Three patterns find assignments, access keys and hexadecimal strings; these base
 are always reported.  Beside them, long base64 and hexadecimal candidates are decoded and
 reported only if their structure holds: a DER sequence whose nested lengths add up to a
 private key, an OpenSSH private key with its length-prefixed fields, a PEM block whose
-body decodes to one of them, a signed token whose header and claims are JSON.
+body decodes to one of them (or, under headers that say it is encrypted, to whole cipher
+blocks), a signed token whose header and claims are JSON.  A key's encoding may be wrapped
+over lines, and a whole PEM text encoded once more.
 
 NULL and empty texts hold none.  Spans are in code points, end exclusive; overlapping
 spans of different kinds are all reported, ties by the order of ``KINDS``.
@@ -30,10 +32,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_VALUE, MIN_ACCESS = 6, 20
 _NAMES = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]*)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:\s*(?:[\r\n]|\\n)\s*[A-Za-z0-9-]+:[^\r\n\\]*)*)([A-Za-z0-9+/=\s\\]*)-----END \1-----")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+#: Lines of base64 or hexadecimal digits, one after the other; the last one may be short.
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{40,}[ \t\r]*\n[ \t]*)+[A-Za-z0-9+/_-]+(?![A-Za-z0-9+/_-])={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: A JSON object begins with a brace or white space.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([eICD][A-Za-z0-9_-]{9,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _SSH_MAGIC = b"openssh-key-v1\x00"
 
 Span = tuple[str, int, int]
@@ -119,6 +125,89 @@ def _kind(data: bytes | None) -> str | None:
     return "openssh" if is_openssh(data) else "der" if data[0] == 0x30 and is_private_der(data) else None
 
 
+def _pem_holds(m: re.Match) -> bool:
+    """Whether the body of a PEM block is a private key; encrypted under its headers, whole cipher blocks."""
+    data = _decode(m[3])
+    if "Proc-Type" in m[2] and "ENCRYPTED" in m[2] and "DEK-Info" in m[2]:
+        return bool(data) and len(data) % 8 == 0
+    return _kind(data) is not None
+
+
+def _decoded_kind(data: bytes | None) -> str | None:
+    """The kind of decoded bytes: a key, or a PEM text that holds one."""
+    if data and b"-----BEGIN " in data and any(_pem_holds(m) for m in _PEM.finditer(data.decode("latin-1"))):
+        return "pem"
+    return _kind(data)
+
+
+def _unhex(text: str) -> bytes | None:
+    try:
+        return bytes.fromhex(text)
+    except ValueError:
+        return None
+
+
+def _der_size(head: bytes) -> int:
+    """Bytes of the DER sequence that begins with ``head``; 0 if none does."""
+    if len(head) < 6 or head[0] != 0x30:
+        return 0
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    return 0 if n > 4 or head[1] == 0x80 else 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
+
+
+def _ssh_size(data: bytes) -> int:
+    """Bytes of the OpenSSH key at the beginning of ``data``: three fields, public keys, the private part; 0 if they go beyond it."""
+    at = len(_SSH_MAGIC)
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    many = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    for _ in range(many + 1 if 1 <= many <= 64 else 0):
+        if at + 4 > len(data):
+            return 0
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if 1 <= many <= 64 and at <= len(data) else 0
+
+
+def _wrapped_spans(text: str) -> list[Span]:
+    """Keys whose encoding goes on over several lines.
+
+    A line at which one can begin tells its size (DER) or goes on to the end of the lines;
+    a last line that is a word of the text after it is tried without.
+    """
+    found: list[Span] = []
+    for block in _LINES.finditer(text):
+        lines = list(_LINE.finditer(text, block.start(), block.end()))
+        parts = [m[0].rstrip("=") for m in lines]
+        whole, starts = "".join(parts), [0]
+        for part in parts:
+            starts.append(starts[-1] + len(part))
+        line_at = {at: k for k, at in enumerate(starts)}
+        done = 0
+        for i, at in enumerate(starts[:-2]):
+            if i < done:
+                continue
+            for decode, chars in ((_decode, 4 / 3), (_unhex, 2)):
+                head = decode(whole[at : at + 20]) or b""
+                size, ends = _der_size(head), []
+                if head.startswith(_SSH_MAGIC[:10]):
+                    size = _ssh_size(decode(whole[at:]) or decode(whole[at : starts[-2]]) or b"")
+                    ends = [len(lines)]
+                if size:
+                    end = at - int(-size * chars // 1)
+                    ends = [line_at[end]] if end in line_at else []
+                elif head.startswith(b"-----BEGIN"):
+                    ends = [len(lines) - 1, len(lines)]
+                kinds = ((end, _decoded_kind(decode(whole[at : starts[end]]))) for end in ends if end > i)
+                end, kind = next(((end, kind) for end, kind in kinds if kind), (0, None))
+                if kind:
+                    # a single line is a candidate of its own
+                    found += [(kind, lines[i].start(), lines[end - 1].end())] if end > i + 1 else []
+                    done = end
+                    break
+    return found
+
+
 def _object(part: str) -> dict | None:
     try:
         value = json.loads(_decode(part) or b"")
@@ -131,17 +220,21 @@ def confirmed_spans(text: str) -> list[Span]:
     """Candidates whose decoded structure is that of a private key or a signed token."""
     found: list[Span] = []
     if "-----BEGIN " in text:
-        found += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if _kind(_decode(m[2]))]
-    if "eyJ" in text:
+        found += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if _pem_holds(m)]
+    if "." in text:
         for m in _TOKEN.finditer(text):
             header = _object(m[1])
             if header and isinstance(header.get("alg"), str) and ("enc" in header or _object(m[2]) is not None):
                 found.append(("token", m.start(), m.end()))
     blocks = [(a, b) for kind, a, b in found if kind == "pem"]
+    outside = lambda at: not any(a <= at < b for a, b in blocks)
+    over = [x for x in _wrapped_spans(text) if outside(x[1])]
+    blocks += [(a, b) for _, a, b in over]
+    found += over
     for pattern, decode in ((_BASE64, _decode), (_ANY_HEX, bytes.fromhex)):
         for m in pattern.finditer(text):
-            kind = _kind(decode(m[0]))
-            if kind and not any(a <= m.start() < b for a, b in blocks):
+            kind = _decoded_kind(decode(m[0]))
+            if kind and outside(m.start()):
                 found.append((kind, m.start(), m.end()))
     return found
 

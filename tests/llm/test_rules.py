@@ -204,6 +204,35 @@ def test_structure_confirms_candidates(text, kinds):
     assert [kind for kind, _, _ in secret_scan.scan(text)] == kinds
 
 
+def wrapped(text, width):
+    return "\n".join(text[i : i + width] for i in range(0, len(text), width))
+
+
+PEM = f"-----BEGIN RSA PRIVATE KEY-----\n{wrapped(b64(KEY), 64)}\n-----END RSA PRIVATE KEY-----"
+SPACED = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (b'{ "alg": "HS256"}', b'\n{"sub": "1"}', b"signature"))
+SSH_KEY = SSH[:-80] + b"".join(len(x).to_bytes(4, "big") + x for x in (b"public" * 9, b"private" * 50))
+HEADED = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n%s\n-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("around", ["%s", "the key:\n%s\nand so on", "x %s"])
+@pytest.mark.parametrize(("text", "kind"), [
+    (wrapped(b64(KEY), 64), "der"), (wrapped(b64(PKCS8), 76), "der"), (wrapped(KEY.hex().upper(), 64), "der"), (wrapped(b64(SSH_KEY), 70), "openssh"),
+    (wrapped(b64(KEY), 76).replace("\n", "\r\n  "), "der"), (b64(PEM.encode()), "pem"), (wrapped(b64(PEM.encode()), 76), "pem"),
+    (PEM, "pem"), (HEADED % wrapped(b64(bytes(range(64)) * 2), 64), "pem"), (PEM.replace("-----\n", "-----\nComment: a, b\n\n", 1), "pem"), (SPACED, "token"),
+])
+def test_keys_over_several_lines_and_within_encodings(around, text, kind):
+    whole = around % text
+    at = around.index("%s")
+    assert secret_scan.confirmed_spans(whole) == [(kind, at, at + len(text))]
+    # digits alone are a base span at the same place
+    assert secret_scan.masked(whole) in (around % f"[{kind}]", around % "[hex]")
+
+
+@pytest.mark.parametrize("text", [wrapped(b64(KEY[:-3]), 64), wrapped(b64(bytes(range(250))), 64), HEADED % b64(bytes(13)), b64(b"-----BEGIN PRIVATE KEY-----\nabcd\n-----END PRIVATE KEY-----"), "Ievidently.something.else"])
+def test_lines_that_are_no_keys(text):
+    assert secret_scan.confirmed_spans(text) == []
+
+
 def test_base_spans_and_masking():
     text = 'é PassWord = "hunter22" token:abc api_key=ABCDEF AKIA' + "Z" * 16 + " " + "0af" * 8 + " ſecret=abcdefgh"
     want = [("assign", m.start(), m.end()) for m in re.finditer(
