@@ -14,6 +14,8 @@ from sparkmart.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handed to Python code in slices of about this many characters.
 SLICE_CHARS = 4_000_000
+#: Very long texts are split into words in pieces of about this many bytes.
+PIECE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
@@ -68,6 +70,32 @@ def map_texts(df: DataFrame, rows: Callable[[list, list[str]], Iterable[tuple]],
     return df.select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
 
+def word_table(kept: str) -> bytes:
+    """For ``bytes.translate`` over UTF-8: A-Z become a-z, ASCII characters outside ``kept`` blanks, all others stay.
+
+    What ``split`` gives after it are the words of the contracts' classes, as bytes.
+    """
+    return bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).lower() in kept else 32 for b in range(256))
+
+
+def word_pieces(data: bytes, table: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text in order, in lists of about ``size`` bytes: a very long text is never one list."""
+    data = data.translate(table)
+    start = 0
+    while len(data) - start > size:
+        end = data.find(b" ", start + size)
+        if end < 0:
+            break
+        yield data[start:end].split()
+        start = end
+    yield data[start:].split()
+
+
+def utf8(text: str | Column) -> Column:
+    """A text as its bytes, empty for NULL: Python code reads them without decoding, valid or not."""
+    return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
+
+
 def to_arrow(spark: SparkSession, schema: str) -> pa.Schema:
     """The Arrow schema of a DDL string of plain types."""
     plain = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}

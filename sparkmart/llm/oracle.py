@@ -68,4 +68,71 @@ SELECT doc_id, len(any_value(ls)) AS n_lines, CAST(coalesce(sum(CAST(exact AS IN
 FROM docs LEFT JOIN told USING (row) GROUP BY row, doc_id
 """
 
-ORACLES = {"op3_line_dedup": _LINE_DEDUP, "op4_line_frequency": _LINE_FREQUENCY}
+_ONLY_A_TO_Z = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DIVERGENCE = r"""
+WITH docs AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+terms AS (SELECT row, lang, source, unnest(regexp_extract_all(LOWERED, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS g, count(DISTINCT row) AS within FROM terms GROUP BY ALL),
+kept AS (SELECT lang, term, CAST(sum(g) AS HUGEINT) AS l FROM counts GROUP BY ALL HAVING sum(within) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(l) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT groups.lang, groups.source, coalesce(any_value(langs.v), 0) AS v, coalesce(any_value(langs.n), 0) AS all_n, coalesce(sum(g), 0) AS n
+  FROM groups LEFT JOIN langs USING (lang) LEFT JOIN (SELECT * FROM counts SEMI JOIN kept USING (lang, term)) c ON c.lang = groups.lang AND c.source = groups.source
+  GROUP BY ALL),
+shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.g, 0) AS g,
+    1 + (1000000000 * CAST(coalesce(c.g, 0) + 5 AS HUGEINT)) // CAST(t.n + 5 * t.v AS HUGEINT) AS p,
+    1 + (1000000000 * CAST(k.l + 5 AS HUGEINT)) // CAST(t.all_n + 5 * t.v AS HUGEINT) AS q
+  FROM totals t JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(any_value(d.value), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) d
+    ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  GROUP BY ALL),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE g > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""".replace("LOWERED", _ONLY_A_TO_Z.format("text"))
+
+_RESAMPLING = r"""
+WITH bits AS (
+  SELECT list_transform(generate_series(0, 255), lambda b:
+    list_reduce(generate_series(1, 8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, CAST(b AS BIGINT))) AS crc),
+docs AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+target AS (SELECT regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+found AS (SELECT row, unnest(ws) AS w FROM docs),
+sought AS (SELECT unnest(ws) AS w FROM target),
+hexed AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM found UNION SELECT w FROM sought)),
+hashed AS (
+  SELECT w, xor(list_reduce(list_transform(generate_series(1, len(x) // 2), lambda i: CAST(strpos('0123456789ABCDEF', x[2 * i - 1]) * 16 + strpos('0123456789ABCDEF', x[2 * i]) - 17 AS BIGINT)),
+    lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM hexed, bits),
+s AS (SELECT bucket, count(*) AS n FROM found JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM sought JOIN hashed USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM found) + 10000.0::DOUBLE)
+    / ((s.n + 1.0::DOUBLE) * ((SELECT count(*) FROM sought) + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weighed AS (
+  SELECT docs.row, doc_id, len(any_value(ws)) AS n_features, CAST(coalesce(floor(sum(gain) / count(gain)), 0) AS BIGINT) AS weight
+  FROM docs LEFT JOIN found USING (row) LEFT JOIN hashed USING (w) LEFT JOIN gains USING (bucket) GROUP BY docs.row, doc_id),
+noisy AS (SELECT *, sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM weighed),
+numbered AS (
+  SELECT *, list_reduce(list_transform(generate_series(1, 8), lambda i: CAST(strpos('0123456789abcdef', x[i]) - 1 AS BIGINT)), lambda a, b: a * 16 + b) AS h FROM noisy),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM numbered),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id NULLS LAST, n_features) AS rank, count(*) FILTER (WHERE n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM ranked
+""".replace("LOWERED", _ONLY_A_TO_Z.format("coalesce(text, '')"))
+
+ORACLES = {
+    "op3_line_dedup": _LINE_DEDUP,
+    "op4_line_frequency": _LINE_FREQUENCY,
+    "op11_divergence_audit": _DIVERGENCE,
+    "op12_importance_resampling": _RESAMPLING,
+}

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import (
     best_fit_packing,
+    divergence_audit,
+    importance_resampling,
     line_dedup,
     line_frequency,
     mincut_extraction,
@@ -69,6 +71,15 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.quality_scores(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.audit(table(spark, sf_dir, "documents", "text", "lang", "source"), least=30, k=50)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return importance_resampling.resample(docs, table(spark, sf_dir, "benchmark", "text"), percent=10, least=20, n=1, buckets=10_000, seed=2024)
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and name[2:3].isdigit()
 }
