@@ -192,7 +192,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
 # -- distances of sources -------------------------------------------------------------------
 
 
-def source_distances(kept: DataFrame, totals: DataFrame) -> DataFrame:
+def source_distances(kept: DataFrame, totals: DataFrame, tile: int = TILE, bucket: int = BUCKET) -> DataFrame:
     """Part ``pair``: to each other source of the lang, the sum of differences over all kept terms.
 
     A source without a term has the same share of every such term, its base.  A group of rows is
@@ -200,7 +200,7 @@ def source_distances(kept: DataFrame, totals: DataFrame) -> DataFrame:
     for each pair the differences less those of the bases.  Bucket 0 adds the latter for all terms.
     """
     base = share(F.lit(0).cast("long"), F.col("total"), F.col("terms"))
-    tiles, buckets = F.ceil(F.col("of") / TILE).cast("int"), (1 + _div(F.col("terms"), F.lit(BUCKET))).cast("int")
+    tiles, buckets = F.ceil(F.col("of") / tile).cast("int"), (1 + _div(F.col("terms"), F.lit(bucket))).cast("int")
     numbered = totals.select("lang", "source", "at", "total", "terms", tiles.alias("tiles"), buckets.alias("buckets"), base.alias("base"))
     nothing = F.lit(None).cast("binary").alias("term")
     bases = numbered.select(
@@ -208,16 +208,16 @@ def source_distances(kept: DataFrame, totals: DataFrame) -> DataFrame:
     shares = kept.join(numbered, ["lang", "source"]).select(
         "lang", "at", F.lit(None).cast("string").alias("source"), "terms", "tiles", "term", share(F.col("g"), F.col("total"), F.col("terms")).alias("p"),
         F.pmod(F.hash("term"), F.col("buckets")).alias("bucket"))
-    own = F.floor(F.col("at") / TILE).cast("int")
+    own = F.floor(F.col("at") / tile).cast("int")
     placed = bases.unionByName(shares).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     placed = placed.withColumns({"low": F.least(own, F.col("other")), "high": F.greatest(own, F.col("other"))})
-    sums = placed.groupBy("lang", "low", "high", "bucket").applyInPandas(_tile_sums, "lang string, a string, b string, value long")
+    sums = placed.groupBy("lang", "low", "high", "bucket").applyInPandas(lambda key, rows: _tile_sums(key, rows, tile), "lang string, a string, b string, value long")
     pairs = sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     ways = F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
     return _ranked(pairs.select("lang", ways.alias("way"), "value").select("lang", "way.source", F.lit("pair").alias("part"), "way.item", "value"))
 
 
-def _tile_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _tile_sums(key: tuple, rows: pd.DataFrame, tile: int) -> pd.DataFrame:
     lang, low, high, bucket = key
     is_base = rows["term"].isna()
     bases = rows[is_base].sort_values("at")
@@ -228,8 +228,10 @@ def _tile_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     matrix[codes, np.searchsorted(at, seen["at"].to_numpy())] = seen["p"].to_numpy()
     of_all = rows["terms"].iloc[0] if bucket == 0 else 0
     out = []
-    for i in range(len(at) if low == high else int((at < high * TILE).sum())):
-        first = i + 1 if low == high else int((at < high * TILE).sum())
+    # of two tiles, the sources of the first meet those of the second
+    of_low = len(at) if low == high else int((at < high * tile).sum())
+    for i in range(of_low):
+        first = i + 1 if low == high else of_low
         apart = np.abs(base[first:] - base[i])
         value = np.abs(matrix[:, first:] - matrix[:, i : i + 1]).sum(0) + (of_all - len(terms)) * apart
         out.append(pd.DataFrame({"lang": lang, "a": names[i], "b": names[first:], "value": value.astype("int64")}))

@@ -10,6 +10,7 @@ from sparkmart.llm import (
     best_fit_packing,
     divergence_audit,
     importance_resampling,
+    licence_scan,
     line_dedup,
     line_frequency,
     mincut_extraction,
@@ -80,6 +81,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(docs, table(spark, sf_dir, "benchmark", "text"), percent=10, least=20, n=1, buckets=10_000, seed=2024)
 
 
+def op13_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.scan_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and name[2:3].isdigit()
 }
