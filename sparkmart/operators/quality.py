@@ -53,6 +53,22 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column}{target}"
 
 
+def multiset_digest(df: DataFrame, measure: str) -> DataFrame:
+    """One row that tells a table from any other as a bag of rows: ``rows``, ``total`` of a measure, ``mixed``, ``added``.
+
+    Rows are hashed with NULLs told from absent values; exclusive or and sum of two hashes don't
+    depend on order or partitions, and together notice a row that comes or goes in pairs.  Nothing is
+    shuffled but one row per task.
+    """
+    cells = [cell for c in df.columns for cell in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.expr(measure)), F.lit(0)).cast("decimal(38,2)").alias("total"),
+        F.coalesce(F.bit_xor(F.xxhash64(*cells)), F.lit(0)).alias("mixed"),
+        F.coalesce(F.sum(F.xxhash64(F.lit(1), *cells).cast("decimal(38,0)")), F.lit(0)).alias("added"),
+    )
+
+
 def quality_report(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: name, number of failures, status.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions import surrogate_key
 
 from .dedup import dedup_latest
+from .hot import TASK_ROWS, hot_keys, is_hot
 
 # The four columns of a snapshot table.
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
@@ -18,7 +18,7 @@ SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
 )
 META = (SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO)
 
-_OUT, _FIRST = "_out", "_first"
+_OUT = "_out"
 
 
 def _versioned(batch: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -111,27 +111,58 @@ def snapshot_products(history: DataFrame | None, products: DataFrame) -> DataFra
 
 
 def scd2_from_log(
-    log: DataFrame, key: str, ts: str, ties: Sequence[str] | None = None,
+    log: DataFrame, key: str, ts: str, ties: Sequence[str] | None = None, task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """History from a complete log of changes: each version ends where the next begins.
 
     Rows of one key and one instant count as one version (``ties`` choose the row).
 
-    The next version is sought within the key's minute first.  Only the last version of a
-    minute needs another minute of its day, and only the last of a day another day: a task
-    sorts the versions of one minute, the minutes of one day, or the days of one key,
-    however much of the log the key holds.
+    Rows meet by key: one shuffle and one sort, in which copies of an instant are left out and
+    the next instant is looked up.  A key with more than ``task_rows`` rows, found by a sketch, is
+    cut into ranges of time at its quantiles.  A range is a task's, whatever the key holds; the
+    last version of a range ends where the next range begins, which one row per range tells.
     """
-    rows = _versioned(dedup_latest(log, [key, ts], None, ties), key, ts)
-    closed = []
-    for level in ("minute", "day", None):
-        parts = [key] if level is None else [key, F.date_trunc(level, ts)]
-        found = rows.withColumn(VALID_TO, F.lead(_FIRST if closed else ts).over(Window.partitionBy(*parts).orderBy(ts)))
-        if level is None:
-            closed.append(found)
-            break
-        # the first instant of the part: where the part before it ends
-        found = found.withColumn(_FIRST, F.first(_FIRST if closed else ts).over(Window.partitionBy(*parts).orderBy(ts)))
-        closed.append(found.filter(F.col(VALID_TO).isNotNull()))
-        rows = found.filter(F.col(VALID_TO).isNull())
-    return reduce(DataFrame.unionByName, [part.drop(_FIRST) for part in closed])
+    ties = [c for c in log.columns if c not in (key, ts)] if ties is None else list(ties)
+    hot = hot_keys(log, key, task_rows)
+    if not hot:
+        return _closed(log, key, ts, ties)
+    is_one = is_hot(F.col(key), hot)
+    bounds = _time_bounds(log.filter(is_one), key, ts, hot)
+    # copies of an instant are folded before the shuffle: an instant can't be cut
+    rows = dedup_latest(log.filter(is_one), [key, ts], None, ties)
+    part = F.size(F.filter(_BOUNDS, lambda b: b <= F.col(ts))).alias(_PART)
+    same = F.col(key).eqNullSafe(F.col(_KEY))
+    ranged = rows.join(bounds, same).select(*log.columns, part)
+    edges = log.filter(is_one).join(bounds, same).groupBy(F.col(key).alias(_KEY), part).agg(F.min(ts).alias(_NEXT))
+    # one row per range and hot key
+    edges = edges.select(_KEY, F.col(_PART).alias(f"{_PART}_r"), F.lead(_NEXT).over(Window.partitionBy(_KEY).orderBy(_PART)).alias(f"{_NEXT}_r"))
+    inside = _closed(ranged, key, ts, ties, _PART)
+    stitched = inside.join(edges, same & (F.col(_PART) == F.col(f"{_PART}_r")), "left")
+    stitched = stitched.withColumn(VALID_TO, F.coalesce(VALID_TO, f"{_NEXT}_r")).drop(_KEY, f"{_PART}_r", f"{_NEXT}_r", _PART)
+    return _closed(log.filter(~is_one), key, ts, ties).unionByName(stitched)
+
+
+_KEY, _PART, _BOUNDS, _NEXT, _BEFORE = "_key", "_part", "_bounds", "_next", "_before"
+
+
+def _closed(log: DataFrame, key: str, ts: str, ties: Sequence[str], *parts: str) -> DataFrame:
+    """Versions of ``key`` (and ``parts`` of it), one per instant, each ended where the next one begins."""
+    of = ", ".join(f"`{c}`" for c in (key, *parts))
+    order = ", ".join([f"`{ts}` asc nulls first", *[f"`{c}` desc nulls last" for c in ties]])
+    window = f"over (partition by {of} order by {order})"
+    before = log.selectExpr("*", f"lag(struct(`{ts}`)) {window} as {_BEFORE}")
+    first = before.filter(f"{_BEFORE} is null or not {_BEFORE}.`{ts}` <=> `{ts}`")
+    return first.select(
+        *log.columns, surrogate_key(key, ts).alias(SCD_ID), F.col(ts).alias(UPDATED_AT), F.col(ts).alias(VALID_FROM),
+        F.expr(f"lead(`{ts}`) {window} as {VALID_TO}"),
+    )
+
+
+def _time_bounds(rows: DataFrame, key: str, ts: str, hot: dict[object, int]) -> DataFrame:
+    """Per hot key the instants at which its ranges begin.  As many numbers as ranges: a small table."""
+    most = max(hot.values())
+    quantiles = F.percentile_approx(ts, [i / most for i in range(1, most)] or [0.5], 10 * most)
+    found = rows.groupBy(F.col(key).alias(_KEY)).agg(quantiles.alias(_BOUNDS)).collect()
+    kind = f"`{_KEY}` {rows.schema[key].dataType.simpleString()}, `{_BOUNDS}` array<{rows.schema[ts].dataType.simpleString()}>"
+    cut = [(r[0], sorted({b for b in r[1] or [] if b is not None})) for r in found]
+    return F.broadcast(rows.sparkSession.createDataFrame(cut, kind))

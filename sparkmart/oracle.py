@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 
+from sparkmart.plans.dimensions import CALENDAR_END, CALENDAR_START
 from sparkmart.plans.warehouse import CHECKS
-from sparkmart.registry import MARK, NATURAL_CHECKS
+from sparkmart.registry import LOGGED, MARK, NATURAL_CHECKS
 from sparkmart.sources import driver_tables as dt
 from sparkmart.sources.schemas import RAW_SCHEMAS
 
@@ -200,18 +201,27 @@ def _line(expression: str) -> str:
     return f"select {_LINE}, {expression} from lineitem"
 
 
-#: Rows of each mart after a build over the first batches: one per key where the key is unique in it.
+#: What the build's queries add up over each model, after a build over the first batches.
 _BUILT = {
-    "dim_customers": "select count(distinct customer_id) from stg_customers",
-    "dim_products": "select count(distinct product_id) from stg_products",
-    "dim_stores": "select count(distinct store_id) from stg_stores",
-    "dim_employees": "select count(distinct employee_id) from stg_employees",
-    "dim_payment_method": "select count(distinct payment_method_id) from stg_payment_methods",
-    "fct_sales": "select count(distinct order_item_id) from stg_order_items",
-    "fct_payments": "select count(*) from fct_payments",
-    "flagged_payments": "select count(*) from newest_payments where not amount_paid > 0",
-    "fct_order_lifecycle": "select count(distinct order_id) from stg_orders",
+    "dim_customers": "select 1 as x from stg_customers",
+    "dim_products": "select selling_price as x from stg_products",
+    "dim_stores": "select length(store_name) as x from stg_stores",
+    "dim_employees": "select length(employee_id) as x from stg_employees",
+    "dim_payment_method": "select length(method_name) as x from stg_payment_methods",
+    "dim_date": f"""select cast(strftime(d, '%Y%m%d') as integer) as x
+        from (select unnest(generate_series(timestamp '{CALENDAR_START}', timestamp '{CALENDAR_END}', interval 1 day)) as d)""",
+    "fct_sales": "select gross_revenue as x from fct_sales",
+    "fct_payments": "select amount_paid as x from fct_payments",
+    "flagged_payments": "select amount_paid as x from newest_payments where not amount_paid > 0",
+    "fct_inventory_daily": """
+        select sum(quantity) as x from (
+            select distinct on (id) * from raw_inventory_movements order by id, product_id desc, store_id desc, quantity desc, moved_at desc
+        ) group by cast(moved_at as date), product_id, store_id""",
+    "fct_order_lifecycle": "select case when delivered_at > ordered_at then 1 else 0 end as x from stg_orders",
+    "snapshot_customers": "select 1 as x from stg_customers",
+    "snapshot_products": "select selling_price as x from stg_products",
 }
+_TOTAL = "coalesce(cast(sum(x) as decimal(38,2)), 0)"
 
 
 BODIES: dict[str, str] = {
@@ -254,7 +264,7 @@ BODIES: dict[str, str] = {
     "stream_ingest": f"select distinct on (id) {_RECORD} from records order by id, page % 2 desc, page desc, pos desc",
     "write_table": "select * from supplier",
     "source_table": " union all ".join(
-        f"select '{e}' as source, count(*) as rows from raw_{e}" for e in RAW_SCHEMAS
+        f"select '{e}' as source, count({'distinct id' if e in LOGGED else '*'}) as rows from raw_{e}" for e in RAW_SCHEMAS
     ),
     "materialize": """
         select *, cast(year(inventory_date) * 100 + month(inventory_date) as integer) as month from fct_inventory_daily""",
@@ -391,12 +401,24 @@ BODIES: dict[str, str] = {
     "check_not_null": "select order_id, status, ordered_at from stg_orders where delivered_at is null",
     "check_relationships": "select store_id, count(*) as failures from stg_orders where store_id not in (select store_id from stg_stores) group by 1",
     "quality_report": _report(CHECKS + NATURAL_CHECKS),
-    "warehouse_build": _report(CHECKS) + "".join(
-        f" union all select 'rows_{name}', ({count}), 'rows'" for name, count in _BUILT.items()
+    "warehouse_build": f"select *, cast(null as decimal(38,2)) as total from ({_report(CHECKS)})" + "".join(
+        f" union all select 'rows_{name}', count(*), 'rows', {_TOTAL} from ({rows})" for name, rows in _BUILT.items()
     ),
     "rerun_is_noop": " union all ".join(
-        f"select '{name}' as model, ({count}) as rows, cast(0 as bigint) as changed" for name, count in _BUILT.items()
+        f"select '{name}' as model, count(*) as rows, {_TOTAL} as total, false as changed from ({rows})" for name, rows in _BUILT.items()
     ),
 }
+BODIES |= {
+    "merge_parts": BODIES["merge_by_key"],
+    "fold_log": BODIES["extract_entity"],
+    "hot_key_lookup": BODIES["left_join_lookup"],
+    "scd2_from_hot_log": f"""
+        select event_type, user_id, ts, {_key('event_type', 'ts')} as dbt_scd_id, ts as dbt_updated_at, ts as dbt_valid_from,
+               lead(ts) over (partition by event_type order by ts) as dbt_valid_to
+        from (select distinct on (event_type, ts) event_type, user_id, ts from events order by event_type, ts, user_id desc)""",
+    "stream_schema_growth": """
+        select distinct on (id) id, "eventId", "eventType", "large", case when page % 2 = 1 then cast(7 as bigint) end as "channelNo"
+        from records order by id, page % 2 desc, page desc, pos desc""",
+}
 
 ORACLES = {name: _with(body) for name, body in BODIES.items()}

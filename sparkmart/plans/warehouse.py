@@ -23,15 +23,19 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.operators import Check, merge_by_key, quality_report, scd2_apply, scd2_step
+from sparkmart.operators import Check, quality_report, scd2_apply, scd2_step
 from sparkmart.operators.scd2 import VALID_TO
 from sparkmart.session import read_if_exists
-from sparkmart.sources.tables import append_batch, is_log, materialize, read_log, sources
+from sparkmart.sources.keyed import KeyedTable
+from sparkmart.sources.schemas import ENTITIES, RAW_SCHEMAS
+from sparkmart.sources.tables import ORDER, append_batch, is_log, materialize, named_as_raw, read_log, sources
+from sparkmart.together import together
 
 from . import dimensions as dims
 from . import facts
 from .staging import STAGING
 
+
 #: Entity -> key of its type-2 history.
 SNAPSHOTS = {"customers": "customer_id", "products": "product_id"}
 
@@ -165,23 +169,19 @@ def snapshot_run(spark: SparkSession, state_dir: str, entity: str, staged: DataF
 
 
 def _load(spark: SparkSession, src_dir: str, state_dir: str, run: int) -> dict[str, DataFrame]:
-    """The raw tables of this run.
+    """The raw tables of this run: those of the last one with what is new, by hash parts of their keys.
 
-    A table that extraction keeps as a log of batches is its own raw table: a new batch
-    has cost its own size when it was appended, and folding the log gives what a merge
-    would.  Any other table is one whole batch, merged into those of the last run.
+    Of a table that extraction keeps as a log of batches, the batches no earlier run took are
+    folded in, once, whatever reads the table later.  Any other table is one whole batch.
     """
-    merged = {}
-    for entity, batch in sources(spark, src_dir).items():
-        if is_log(spark.read.parquet(f"{src_dir}/{entity}")):
-            merged[entity] = batch
-            continue
-        target = spark.read.parquet(f"{state_dir}/raw/{RUN}={run - 1}/{entity}") if run > 1 else None
-        newest = "updated_at" if "updated_at" in batch.columns else None
-        path = f"{state_dir}/raw/{RUN}={run}/{entity}"
-        merge_by_key(target, batch, ["id"], newest).write.mode("overwrite").parquet(path)
-        merged[entity] = spark.read.parquet(path)
-    return merged
+
+    def raw(entity: str) -> DataFrame:
+        table, source = KeyedTable(f"{state_dir}/raw/{entity}"), spark.read.parquet(f"{src_dir}/{entity}")
+        if is_log(source):
+            return named_as_raw(table.fold(spark, f"{src_dir}/{entity}", run).drop(*ORDER), RAW_SCHEMAS[entity].fieldNames())
+        return table.merge(spark, source, run, "updated_at" if "updated_at" in source.columns else None)
+
+    return together(spark, {entity: lambda e=entity: raw(e) for entity in ENTITIES})
 
 
 def run_pipeline(
@@ -200,17 +200,17 @@ def run_pipeline(
     raw = merged if read_from == "merged" else sources(spark, src_dir)
 
     staged = Models(spark, raw)
-    histories = {e: snapshot_run(spark, state_dir, e, staged[f"stg_{e}"], run) for e in SNAPSHOTS}
+    histories = together(spark, {e: lambda e=e: snapshot_run(spark, state_dir, e, staged[f"stg_{e}"], run) for e in SNAPSHOTS})
 
     models = Models(spark, raw, histories, days=days)
     if date_keys:
         for name, roles in DATE_ROLES.items():
             models.built[name] = facts.fact_date_key(models[name], models["dim_date"], roles)
     month = F.year("created_at") * 100 + F.month("created_at")
-    written = {
-        name: materialize(models[name].withColumn(MONTH, month), name, "table", f"{out_dir}/{RUN}={run}/{name}", MONTH)
-        for name in TABLES
-    }
+    months = {name: models[name].withColumn(MONTH, month) for name in TABLES}
+    written = together(spark, {
+        name: lambda n=name: materialize(months[n], n, "table", f"{out_dir}/{RUN}={run}/{n}", MONTH) for name in TABLES
+    })
     keyed = {name: models[name] for name in DATE_ROLES if date_keys} | written
     models = Models(spark, raw, histories, keyed, days)
     for name in models:

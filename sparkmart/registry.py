@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from sparkmart.operators.merge import PAGE, POSITION
 from sparkmart.plans import dimensions as dims
 from sparkmart.plans import facts, reports, staging
 from sparkmart.plans.warehouse import (
-    CHECKS, SNAPSHOTS, Models, run_pipeline,
+    CHECKS, SNAPSHOTS, Models, read_snapshot, run_pipeline,
 )
 from sparkmart.session import scratch_path
 from sparkmart.sources import driver_tables as dt
@@ -29,7 +29,9 @@ from sparkmart.sources import pages as pg
 from sparkmart.sources import tables as tb
 from sparkmart.sources import watermark as wm
 from sparkmart.sources.extract import ExtractState, current_marks, extract_all, extract_entity
+from sparkmart.sources.keyed import KeyedTable
 from sparkmart.streaming import stream_ingest
+from sparkmart.together import together
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,6 +169,27 @@ def _(spark, sf):
     return merged.select("id", "segment", "tier", "updated_at")
 
 
+@query("merge_parts")
+def _(spark, sf):
+    """As ``merge_by_key``, over a table in parts: the second version writes the parts its keys are in."""
+    table = KeyedTable(scratch_path(spark, "customers"))
+    table.merge(spark, dt.raw_tables(spark, sf)["customers"], 1, "updated_at")
+    changed = dt.second_batches(spark, sf)["customers"].filter("tier = 'vip'")
+    return table.merge(spark, changed, 2, "updated_at").select("id", "segment", "tier", "updated_at")
+
+
+@query("fold_log")
+def _(spark, sf):
+    """The lake's log of events, folded after each load: the second fold reads the second batch alone."""
+    state, table = ExtractState(scratch_path(spark, "landing"), scratch_path(spark, "lake")), KeyedTable(scratch_path(spark, "folded"))
+    pages = dt.landed_pages(spark, sf)
+    for load in range(1, dt.LOADS + 1):
+        _land(pages, load, state.landing("events"))
+        extract_entity(spark, "events", state)
+        folded = table.fold(spark, state.table("events"), load)
+    return _event_columns(folded).withColumn("value", F.col("value").cast("double"))
+
+
 @query("extract_entity")
 def _(spark, sf):
     state = ExtractState(scratch_path(spark, "landing"), scratch_path(spark, "lake"))
@@ -228,9 +251,20 @@ def _write_lake(spark: SparkSession, sf: str) -> str:
     return path
 
 
+#: Sources the query below keeps as logs.
+LOGGED = ("order_items", "inventory_movements", "customers", "products")
+
+
 @query("source_table")
 def _(spark, sf):
-    tables = tb.sources(spark, _write_lake(spark, sf))
+    """Rows of each source, four of which are kept as logs of batches: what is written twice counts once."""
+    lake = _write_lake(spark, sf)
+    for entity in LOGGED:
+        log = spark.read.parquet(f"{lake}/{entity}").withColumns({PAGE: F.lit(1), POSITION: F.monotonically_increasing_id()})
+        for number, batch in enumerate((log, log.filter("quantity > 5") if "quantity" in log.columns else log), 1):
+            tb.append_batch(batch, f"{lake}/logs/{entity}", number)
+    places = {n: f"{lake}/logs" if n in LOGGED else lake for n in tb.ENTITIES}
+    tables = {n: tb.sources(spark, place, [n])[n] for n, place in places.items()}
     counts = [df.agg(F.lit(n).alias("source"), F.count(F.lit(1)).alias("rows")) for n, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)
 
@@ -366,6 +400,14 @@ def _(spark, sf):
     )
 
 
+@query("hot_key_lookup")
+def _(spark, sf):
+    """As ``left_join_lookup``, with the stores of more than a hundred orders split by themselves."""
+    staged = _staged(spark, sf)
+    joined = op.lookup(staged["stg_orders"], dims.dim_stores(staged["stg_stores"]), "store_id", ["store_key"], salt="hot", task_rows=100)
+    return joined.select("order_id", "store_id", "store_key")
+
+
 @query("current_dim_join")
 def _(spark, sf):
     customers = dims.dim_customers(_history(spark, sf, "customers"))
@@ -432,6 +474,13 @@ def _(spark, sf):
     return op.scd2_from_log(events, "user_id", "ts")
 
 
+@query("scd2_from_hot_log")
+def _(spark, sf):
+    """History of a handful of keys: each is cut into ranges of time of about 500 rows."""
+    events = dt.table(spark, sf, "events").select("event_type", "user_id", "ts")
+    return op.scd2_from_log(events, "event_type", "ts", ["user_id"], task_rows=500)
+
+
 # ---------------------------------------------------------------- marts and reports
 
 
@@ -498,54 +547,95 @@ NATURAL_CHECKS = [
 
 @query("quality_report")
 def _(spark, sf):
+    """Checks over written tables, as in a build: dimensions whole, all others with the columns the checks name."""
     checks, models = CHECKS + NATURAL_CHECKS, marts(spark, sf)
-    # Written once: the checks read finished tables, as in a build.
-    written: dict[str, DataFrame] = {}
+    named: dict[str, list[str]] = {}
     for check in checks:
-        for name in (check.table, check.to):
-            if name and name not in written:
-                written[name] = tb.materialize(models[name], name, "table", scratch_path(spark, name))
-                models.built[name] = written[name]
+        for table, column in ((check.table, check.column), (check.to, check.field)):
+            if table and column not in named.setdefault(table, []):
+                named[table].append(column)
+    written: dict[str, DataFrame] = {}
+    for facts_now in (False, True):
+        due = {n: models[n].select(named[n]) if not n.startswith("dim_") else models[n] for n in named if n.startswith("fct_") == facts_now}
+        written |= together(spark, {n: lambda n=n, df=df: tb.materialize(df, n, "table", scratch_path(spark, n)) for n, df in due.items()}, 8)
+        # the facts read the written dimensions
+        models.built |= {n: df for n, df in written.items() if n.startswith("dim_")}
     return op.quality_report(spark, written, checks)
 
 
 # ---------------------------------------------------------------- whole builds
 
 
-#: Marts whose rows the build's queries look at.
-BUILT = (
-    "dim_customers", "dim_products", "dim_stores", "dim_employees", "dim_payment_method",
-    "fct_sales", "fct_payments", "flagged_payments", "fct_order_lifecycle",
-)
+#: Model -> what the build's queries add up over its rows.
+MEASURES = {
+    "dim_customers": "case when is_current then 1 else 0 end",
+    "dim_products": "selling_price",
+    "dim_stores": "length(store_name)",
+    "dim_employees": "length(employee_id)",
+    "dim_payment_method": "length(method_name)",
+    "dim_date": "date_key",
+    "fct_sales": "gross_revenue",
+    "fct_payments": "amount_paid",
+    "flagged_payments": "amount_paid",
+    "fct_inventory_daily": "net_quantity_moved",
+    "fct_order_lifecycle": "case when delivered_at > ordered_at then 1 else 0 end",
+    "snapshot_customers": "case when dbt_valid_to is null then 1 else 0 end",
+    "snapshot_products": "selling_price",
+}
+
+
+def _camel(name: str) -> str:
+    first, *rest = name.split("_")
+    return first + "".join(part.title() for part in rest)
+
+
+def _land_entities(spark: SparkSession, sf: str, state: ExtractState) -> None:
+    """All nine entities as landed pages of one record each, in the order in which a merge prefers rows."""
+
+    def land(entity: str, df: DataFrame) -> None:
+        newest = [F.col("updated_at").asc_nulls_last()] if "updated_at" in df.columns else []
+        order = newest + [F.col(c).asc_nulls_first() for c in df.columns if c != "updated_at"]
+        record = F.to_json(F.struct(*[F.col(c).alias(_camel(c)) for c in df.columns]))
+        sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        sorted_rows.select(F.concat(F.lit('{"data":['), record, F.lit("]}")).alias("value")).write.text(state.landing(entity))
+
+    together(spark, {e: lambda e=e, df=df: land(e, df) for e, df in dt.raw_tables(spark, sf).items()})
+
+
+def _digests(spark: SparkSession, state_dir: str, run: int) -> dict[str, Row]:
+    """Digest of each model after a run, and of the two histories."""
+    tables = {n: spark.table(n) for n in MEASURES if n not in SNAPSHOT_NAMES}
+    tables |= {n: read_snapshot(spark, state_dir, e, run) for n, e in SNAPSHOT_NAMES.items()}
+    return together(spark, {n: lambda n=n, df=df: op.multiset_digest(df, MEASURES[n]).first() for n, df in tables.items()}, 8)
+
+
+SNAPSHOT_NAMES = {f"snapshot_{entity}": entity for entity in SNAPSHOTS}
 
 
 @query("warehouse_build")
 def _(spark, sf):
-    """The data tests' results, and how many rows each mart has."""
-    report = run_pipeline(spark, _write_lake(spark, sf), scratch_path(spark, "state"), scratch_path(spark, "marts"))
-    counts = [
-        spark.table(name).agg(F.lit(f"rows_{name}").alias("check_name"), F.count(F.lit(1)).alias("failures"), F.lit("rows").alias("status"))
-        for name in BUILT
-    ]
-    return reduce(DataFrame.unionByName, [report, *counts])
+    """Pages of all nine entities, extracted and built: the data tests, and rows and a total of each model and history."""
+    lake, state_dir = ExtractState(scratch_path(spark, "landing"), scratch_path(spark, "lake")), scratch_path(spark, "state")
+    _land_entities(spark, sf, lake)
+    failed = extract_all(spark, dt.raw_tables(spark, sf), lake).filter("status = 'failed'").collect()
+    if failed:
+        raise RuntimeError(f"not extracted: {failed}")
+    report = run_pipeline(spark, f"{lake.lake_dir}/raw", state_dir, scratch_path(spark, "marts"))
+    rows = [(f"rows_{n}", d["rows"], "rows", d["total"]) for n, d in _digests(spark, state_dir, 1).items()]
+    built = spark.createDataFrame(rows, "check_name string, failures bigint, status string, total decimal(38,2)")
+    return report.withColumn("total", F.lit(None).cast("decimal(38,2)")).unionByName(built)
 
 
 @query("rerun_is_noop")
 def _(spark, sf):
-    lake, state, out = _write_lake(spark, sf), scratch_path(spark, "state"), scratch_path(spark, "marts")
+    """A second build over the same lake leaves every model and history as it was, by digests of all rows."""
+    lake, state_dir, out = _write_lake(spark, sf), scratch_path(spark, "state"), scratch_path(spark, "marts")
     runs = []
-    for _ in range(2):
-        run_pipeline(spark, lake, state, out)
-        runs.append({name: tb.materialize(spark.table(name), f"{name}_kept", "table", scratch_path(spark, name)) for name in BUILT})
-    results = []
-    for name in BUILT:
-        first, second = (run[name] for run in runs)
-        sides = first.withColumn("_run", F.lit(1)).unionByName(second.withColumn("_run", F.lit(-1)))
-        # a row is changed if one run has it more often than the other
-        rows = sides.groupBy(*first.columns).agg(F.sum("_run").alias("_more"), F.count_if(F.col("_run") < 0).alias("_rows"))
-        results.append(rows.agg(
-            F.lit(name).alias("model"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.abs("_more")), F.lit(0)).alias("changed")))
-    return reduce(DataFrame.unionByName, results)
+    for run in (1, 2):
+        run_pipeline(spark, lake, state_dir, out)
+        runs.append(_digests(spark, state_dir, run))
+    rows = [(n, d["rows"], d["total"], runs[1][n] != d) for n, d in runs[0].items()]
+    return spark.createDataFrame(rows, "model string, rows bigint, total decimal(38,2), changed boolean")
 
 
 @query("stream_ingest")
@@ -557,3 +647,14 @@ def _(spark, sf):
         stream_ingest(spark, landing, table, checkpoint, RECORD).awaitTermination()
     return _event_columns(tb.read_batches(spark, table))
 
+
+@query("stream_schema_growth")
+def _(spark, sf):
+    """A stream whose second load has a field more: it becomes a column, NULL where the first load was last."""
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "table", "checkpoint"))
+    more = F.replace(F.col("value"), F.lit('"eventId":'), F.lit('"channelNo":7,"eventId":'))
+    pages = dt.landed_pages(spark, sf).withColumn("value", F.when(F.col("load") == dt.LOADS, more).otherwise(F.col("value")))
+    for load in range(1, dt.LOADS + 1):
+        _land(pages, load, landing)
+        stream_ingest(spark, landing, table, checkpoint, fn.struct("id string, eventId bigint")).awaitTermination()
+    return tb.read_batches(spark, table).select("id", "eventId", "eventType", "large", "channelNo")
