@@ -84,6 +84,29 @@ def test_hot_key_of_a_lookup_is_split(spark, small_partitions):
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_keys_of_a_lookup_are_salted_alone_without_adaptive_execution(spark):
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id"))
+    fact = spark.range(0, n, 1, 16).select(key.alias("k"), F.md5(F.col("id").cast("string")).alias("payload"))
+    dim = spark.range(-1, n, 1, 4).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        def largest(joined):
+            assert joined.count() == n and joined.filter("v <> 2 * k").count() == 0 and joined.filter("v is null").count() == n // 3
+            return joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        assert op.hot_keys(fact, "k", 2_000) == {-1: 10, None: 10} and op.hot_keys(fact, "k") == {}
+        plain, salted = op.lookup(fact, dim, "k", ["v"]), op.lookup(fact, dim, "k", ["v"], salt="hot", task_rows=2_000)
+        assert largest(plain) > n // 3 and largest(salted) < n // 5
+        assert salted.columns == plain.columns and op.lookup(fact, dim, "k", ["v"], salt="hot").count() == n
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hot_key_reaches_the_dedup_reducer_as_one_row_per_map_task(spark):
     df = spark.range(0, 30_000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"),

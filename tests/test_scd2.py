@@ -1,5 +1,7 @@
 import hashlib
 import random
+import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +96,20 @@ def test_fold_over_batches_equals_closed_form(spark):
     assert history.filter("dbt_valid_to is not null").join(starts, ["id", "dbt_valid_to"], "left_anti").count() == 0
 
 
+def test_ranges_of_a_hot_key_give_the_same_history(spark):
+    rng = random.Random(3)
+    keys, day = ["hot"] * 6 + ["warm"] * 2 + [None] * 3 + ["cold", "x", "y"], datetime(2024, 1, 1)
+    rows = [(rng.choice(keys), str(rng.randrange(4)), rng.choice([None] + [day + timedelta(seconds=rng.randrange(900))] * 20)) for _ in range(1500)]
+    log = spark.createDataFrame([*rows, *rows[:50], *[("hot", "9", day)] * 300], SCHEMA)
+    whole = tuples(op.scd2_from_log(log, "id", "updated_at"))
+    assert len(whole) > 1000
+    for task_rows in (40, 200):
+        assert tuples(op.scd2_from_log(log, "id", "updated_at", task_rows=task_rows)) == whole
+    sliced = op.scd2_from_log(log, "id", "updated_at", task_rows=40)
+    assert "hashpartitioning(id#" in sliced._jdf.queryExecution().toString() and "_part" in sliced._jdf.queryExecution().toString()
+    assert not re.search("Cartesian|BroadcastNestedLoop", sliced._jdf.queryExecution().toString())
+
+
 def test_closed_form_within_and_across_days_with_equal_instants(spark):
     log = spark.createDataFrame([
         ("a", "1", ts("2024-01-01 01:00")), ("a", "2", ts("2024-01-01 05:00")), ("a", "3", ts("2024-01-09 00:00")),

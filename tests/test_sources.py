@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +14,9 @@ from sparkmart.operators.merge import PAGE
 from sparkmart.sources import pages as pg
 from sparkmart.sources import tables as tb
 from sparkmart.sources import watermark as wm
-from sparkmart.sources.extract import ExtractState, current_marks, extract_all, extract_entity
+from sparkmart.sources.extract import ExtractState, current_marks, extract_all, extract_entity, unseen_files
 from sparkmart.sources.jdbc import jdbc_options
+from sparkmart.sources.pages import landed_files, read_listed_pages
 from sparkmart.sources.schemas import ENTITIES, RAW_SCHEMAS
 
 IDS = T.StructType([T.StructField("id", T.StringType())])
@@ -208,6 +210,27 @@ def test_a_run_that_died_before_its_last_step_is_repeated(spark, state):
     assert tuples(state.entity(spark, "orders"), "v") == [(2,)]
 
 
+def test_files_are_taken_by_a_join_with_a_ledger_of_any_length(spark, state, monkeypatch):
+    land(spark, f"{state.landing('orders')}/load=1", {"data": [row("a", "2024-01-01T00:00:00Z", v=1)]})
+    run(spark, state, 1)
+    tb.append_batch(spark.range(100_000).select(F.concat(F.lit("file:/landed/"), "id").alias("file")), state.files("orders"), 5)
+    land(spark, f"{state.landing('orders')}/a folder/load=2", {"data": [row("b", "2024-01-02T00:00:00Z", v=2)]}, {"data": [row("c", "2024-01-02T00:00:00Z", v=3)]})
+    rows, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: (lambda found: (rows.append((df.columns, len(found))), found)[1])(collect(df)))
+    assert run(spark, state, 2) == 2
+    assert not [columns for columns, _ in rows if "file" in columns] and max(n for _, n in rows) < 10
+    assert tuples(state.entity(spark, "orders"), "id", "v") == [("a", 1), ("b", 2), ("c", 3)]
+    # files taken before are left out before any is opened
+    names = unseen_files(spark, "orders", state)
+    assert names.count() == 0
+    listed = landed_files(spark, state.landing("orders"))
+    last = listed.filter("file like '%load=2%'").agg(F.min("modified"), F.max("modified")).first()
+    if listed.filter("file like '%load=1%'").agg(F.max("modified")).first()[0] < last[0]:
+        pages = read_listed_pages(spark, state.landing("orders"), listed, *last)
+        assert pages.count() == 2
+        assert "file_modification_time" in pages._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entity_without_a_time_column(spark, state):
     land(spark, state.landing("orders"), {"data": [{"id": "a", "v": 1}]})
     assert [run(spark, state, day) for day in (1, 2)] == [1, 0]
