@@ -555,12 +555,24 @@ def _(spark, sf):
             if table and column not in named.setdefault(table, []):
                 named[table].append(column)
     written: dict[str, DataFrame] = {}
-    for facts_now in (False, True):
-        due = {n: models[n].select(named[n]) if not n.startswith("dim_") else models[n] for n in named if n.startswith("fct_") == facts_now}
-        written |= together(spark, {n: lambda n=n, df=df: tb.materialize(df, n, "table", scratch_path(spark, n)) for n, df in due.items()}, 8)
-        # the facts read the written dimensions
-        models.built |= {n: df for n, df in written.items() if n.startswith("dim_")}
-    return op.quality_report(spark, written, checks)
+
+    def check(some: list) -> list[Row]:
+        return op.quality_report(spark, written, some).collect() if some else []
+
+    def job(name: str) -> list[Row]:
+        """Plan and write one table, then run the checks that need no more than what is written before it."""
+        model = models[name] if name.startswith("dim_") else models[name].select(named[name])
+        written[name] = tb.materialize(model, name, "table", scratch_path(spark, name))
+        return check([c for c in checks if c.table == name and (c.to is None or name.startswith("fct_"))])
+
+    early = [n for n in named if not n.startswith("fct_")]
+    results = together(spark, {n: lambda n=n: job(n) for n in early}, 8)
+    # the facts read the written dimensions
+    models.built |= {n: df for n, df in written.items() if n.startswith("dim_")}
+    late = {n: lambda n=n: job(n) for n in named if n not in early}
+    results |= together(spark, late | {"references": lambda: check([c for c in checks if c.to and c.table in early])}, 8)
+    rows = [row for found in results.values() for row in found]
+    return spark.createDataFrame(rows, "check_name string, failures bigint, status string")
 
 
 # ---------------------------------------------------------------- whole builds
