@@ -348,8 +348,14 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     return told.select("doc_id", "n_lines", zero("n_exact"), zero("n_near"), zero("n_links"), removed.alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> DataFrame:
-    """``docs``, same columns, without the lines that go.  A document of which no word is left goes too."""
+def without_repeated_lines(
+    docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None, min_left: float = 0.0,
+) -> DataFrame:
+    """``docs``, same columns, without the lines that go.  A document of which no word is left goes too.
+
+    So does one that has lost lines and keeps less than ``min_left`` of its words: what repeats
+    earlier documents for the most part is a near copy, and a stub of it is of no use.
+    """
     texts = docs.select("doc_id", "text")
     # the row is carried as one value: none of its columns can meet a name used here
     keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("version"))
@@ -358,5 +364,7 @@ def without_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_char
     left = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("removed"), i)), "\n")
     lost = F.size(F.coalesce("removed", F.array().cast("array<int>"))) > 0
     new = told.select("row", lost.alias("lost"), F.when(lost, left).otherwise(text).alias("text"))
-    kept = new.filter(~F.col("lost") | (F.btrim("text", F.lit(BLANKS + "\n")) != ""))
+    of = lambda some: F.size(words(some))
+    enough = (F.btrim("text", F.lit(BLANKS + "\n")) != "") & (of(F.col("text")) >= min_left * of(F.col("row.text")))
+    kept = new.filter(~F.col("lost") | enough)
     return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -2,15 +2,20 @@
 
 Base counts are array expressions over the whole text; no rows are exploded for them.
 For the cross-document rule each document gives its distinct normalised lines as hashes;
-lines are counted per host by different texts, folded before the shuffle, so a host with a
-third of all documents and a line they all share are one row per task.  Lines of more
-than ``MIN_DOCUMENTS`` texts of a host, and of more than ``MAX_SHARE`` of its texts, are
-above the limits.  A document that keeps less than ``MIN_LEFT`` of its words without them
-is depleted and rejected; ``without_frequent_lines`` gives the texts of the others without
-them.  Copies of one text count once: they are left to deduplication.
+lines are counted per host by different documents, folded before the shuffle, so a host with a
+third of all documents and a line they all share are one row per task.
+
+A line is above the limit if more than ``MAX_DOCUMENTS`` documents of a host have it that differ
+otherwise: whatever the size of the host.  Documents differ otherwise if the two longest of their
+other lines do (ties: the earlier UTF-8), and so must most of the line's documents: copies count
+once, and a group of near copies shares most long lines.  Both are left to deduplication.
+
+A document that keeps less than ``MIN_LEFT`` of its words without the lines above the limit is
+depleted and rejected; ``without_frequent_lines`` gives the texts of the others without them.
 
 NULL and empty texts have no words and fail the base rules.  A NULL host is a host of its
-own.  Repeated rows give repeated results; an empty table gives no rows.
+own.  Repeated rows give repeated results; an empty table gives no rows.  Very long texts are
+arrays of words and lines of one row, with some 16 bytes a line in the shuffle.
 """
 
 from __future__ import annotations
@@ -21,18 +26,20 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import cut, words
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
-#: A line is above the limits in more texts of a host than this, and in more than this share of them.
-MIN_DOCUMENTS, MAX_SHARE = 10, 0.1
+#: A line is above the limit in more documents of a host than this.
+MAX_DOCUMENTS = 10
 #: A document must keep this share of its words.
 MIN_LEFT = 0.3
-#: Most hosts whose frequent lines are broadcast; with more of them the tables are joined by shuffle.
-BROADCAST_HOSTS = 20_000
+#: Most hosts and lines that are broadcast; with more of them the tables are joined by shuffle.
+BROADCAST_HOSTS, BROADCAST_LINES = 20_000, 1_000_000
 SYMBOLS = "#*$%&|<>"
+#: White space at the ends of a line.
+BLANKS = " \t\x0b\x0c\r"
 
 
 def normalised(line: Column) -> Column:
     """A line as it is counted: lower case, digits alike, white space at the ends dropped."""
-    return F.translate(F.lower(F.trim(line)), "123456789", "000000000")
+    return F.translate(F.lower(F.btrim(line, F.lit(BLANKS))), "123456789", "000000000")
 
 
 def n_dup_lines(text: Column) -> Column:
@@ -90,53 +97,56 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _lines(text: Column) -> Column:
-    """Distinct lines with a word: ``h`` (hash of the normal form) and ``n`` (words, each occurrence counted)."""
-    return F.transform(
-        F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.trim(line) != ""),
-        lambda line: F.struct(F.xxhash64(normalised(line)).alias("h"), F.size(F.split(F.trim(line), " +")).alias("n")),
-    )
+    """Distinct normalised lines with a word: ``h`` (hash) and ``c`` (hash of the two longest other lines)."""
+    nonblank = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), normalised), lambda line: line != "")
+    ordered = F.sort_array(F.transform(F.array_distinct(nonblank), lambda line: F.struct((-F.length(line)).alias("n"), line.alias("line"))))
 
+    def told(lines: Column) -> Column:
+        longest = F.slice(lines, 1, 3)
 
-def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """``host, hs``: hashes of the lines above the limits of their host; hosts without any are left out.
+        def companions(line: Column) -> Column:
+            others = F.filter(longest, lambda x: x["line"] != line)
+            return F.xxhash64(F.get(others, F.lit(0))["line"], F.get(others, F.lit(1))["line"])
 
-    A host has at most 1 / ``MAX_SHARE`` times as many such lines as its texts have on average.
-    """
-    hashes = F.array_distinct(F.transform(_lines(F.col(text)), lambda x: x["h"]))
-    seen = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("copy"), hashes.alias("hs"))
-    single = seen.groupBy("host", "copy").agg(F.first("hs").alias("hs"))
-    texts = single.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    counted = single.select("host", F.explode("hs").alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
-    often = counted.filter(F.col("n") > MIN_DOCUMENTS).join(texts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-    return often.filter(F.col("n") > MAX_SHARE * F.col("texts")).groupBy("host").agg(F.collect_list("h").alias("hs"))
+        return F.transform(lines, lambda x: F.struct(F.xxhash64(x["line"]).alias("h"), companions(x["line"]).alias("c")))
+
+    return _let(ordered, told)
+
+
+def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """``host, hs``: hashes of the lines above the limit of their host; hosts without any are left out."""
+    seen = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("copy"), _lines(F.col(text)).alias("lines"))
+    single = seen.groupBy("host", "copy").agg(F.first("lines").alias("lines"))
+    counted = single.select("host", F.inline("lines")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c").alias("different"))
+    often = counted.filter((F.col("different") > MAX_DOCUMENTS) & (2 * F.col("different") > F.col("n")))
+    return often.groupBy("host").agg(F.collect_list("h").alias("hs"))
 
 
 def judge(docs: DataFrame, host: str = "source", text: str = "text", clean: bool = False) -> DataFrame:
     """All columns of ``docs``, the base counts, ``base_failed``, ``left_share`` and ``kept``.
 
-    With ``clean``, also ``clean_text``: the text without the lines above the limits.
+    With ``clean``, also ``clean_text``: the text without the lines above the limit.
     """
     lines = cut(frequent_lines(docs, host, text), "frequent_lines").toDF("_host", "_above")
-    # documents stay where they are while the hosts with such lines are few
-    lines = F.broadcast(lines) if lines.count() <= BROADCAST_HOSTS else lines
+    # documents stay where they are while such lines are few
+    hosts, total = lines.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_above")), F.lit(0))).first()
+    lines = F.broadcast(lines) if hosts <= BROADCAST_HOSTS and total <= BROADCAST_LINES else lines
     judged = base_rules(docs, text).join(lines, F.col(host).eqNullSafe(F.col("_host")), "left")
-
-    def left_share(lines: Column) -> Column:
-        words_of = lambda some: F.aggregate(some, F.lit(0), lambda s, x: s + x["n"])
-        return F.coalesce(F.try_divide(words_of(F.filter(lines, lambda x: ~F.array_contains(F.col("_above"), x["h"]))), words_of(lines)), F.lit(1.0))
-
-    share = F.when(F.col("_above").isNull(), F.lit(1.0)).otherwise(_let(_lines(F.col(text)), left_share))
-    judged = judged.withColumn("left_share", share)
+    above = lambda line: F.array_contains(F.col("_above"), F.xxhash64(normalised(line)))
+    split = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    # a line's words are the text's words in it
+    lost = F.aggregate(F.filter(split, above), F.lit(0), lambda s, line: s + F.size(words(line)))
+    left = F.coalesce(F.try_divide(F.col("n_words") - lost, F.col("n_words")), F.lit(1.0))
+    judged = judged.withColumn("left_share", F.when(F.col("_above").isNull(), F.lit(1.0)).otherwise(left))
     if clean:
-        stays = lambda line: (F.trim(line) == "") | ~F.array_contains(F.col("_above"), F.xxhash64(normalised(line)))
-        left = F.array_join(F.filter(F.split(F.col(text), "\n"), stays), "\n")
-        judged = judged.withColumn("clean_text", F.when(F.col("_above").isNull(), F.col(text)).otherwise(left))
+        kept = F.array_join(F.filter(split, lambda line: ~above(line)), "\n")
+        judged = judged.withColumn("clean_text", F.when(F.col("_above").isNull() | F.col(text).isNull(), F.col(text)).otherwise(kept))
     judged = judged.drop("_host", "_above")
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("left_share") >= MIN_LEFT))
 
 
 def without_frequent_lines(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """``docs``, same columns, without the lines above the limits of their host and without rejected documents."""
+    """``docs``, same columns, without the lines above the limit of their host and without rejected documents."""
     carried = docs.select(F.struct(*docs.columns).alias("row"))
     kept = judge(carried, f"row.`{host}`", f"row.`{text}`", clean=True).filter("kept")
     return kept.select(*[F.col("clean_text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

@@ -22,13 +22,15 @@ counts AS (
     len(dl) - len(list_distinct(dl)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
   FROM numbered LEFT JOIN repeats USING (row)),
 lines AS (
-  SELECT row, source, raw, translate(lower(trim(l)), '123456789', '000000000') AS line,
-    len(regexp_split_to_array(trim(l), ' +')) AS n
-  FROM (SELECT row, source, raw, unnest(string_split(text, chr(10))) AS l FROM numbered) WHERE trim(l) <> ''),
+  SELECT row, source, raw, translate(lower(trim(l, BLANKS)), '123456789', '000000000') AS line, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT row, source, raw, unnest(string_split(text, chr(10))) AS l FROM numbered) WHERE trim(l, BLANKS) <> ''),
+longest AS (SELECT row, list_sort(list_distinct(list({'n': -length(line), 'l': line})))[1:3] AS three FROM lines GROUP BY row),
+beside AS (
+  SELECT DISTINCT source, line, coalesce('t' || raw, 'n') AS doc,
+    coalesce(list_filter(three, lambda x: x.l <> line)[1].l, '') || chr(10) || coalesce(list_filter(three, lambda x: x.l <> line)[2].l, '') AS others
+  FROM lines JOIN longest USING (row)),
 often AS (
-  SELECT source, line FROM (SELECT source, line, count(DISTINCT coalesce('t' || raw, 'n')) AS texts FROM lines GROUP BY ALL)
-  JOIN (SELECT source, count(DISTINCT coalesce('t' || raw, 'n')) AS of FROM docs GROUP BY source) s USING (source)
-  WHERE texts > 10 AND texts > 0.1 * of),
+  SELECT source, line FROM beside GROUP BY ALL HAVING count(DISTINCT others) > 10 AND 2 * count(DISTINCT others) > count(DISTINCT doc)),
 shares AS (
   SELECT row, sum(CASE WHEN o.line IS NULL THEN n ELSE 0 END) / sum(n) AS share
   FROM lines l LEFT JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY row),
@@ -39,7 +41,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   (NOT base_failed AND coalesce(share, 1) >= 0.3) AS kept
 FROM judged
-"""
+""".replace("BLANKS", "' ' || chr(9) || chr(11) || chr(12) || chr(13)")
 
 _LINE_DEDUP = r"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),

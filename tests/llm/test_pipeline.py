@@ -12,7 +12,7 @@ from sparkmart.llm import line_dedup, secret_scan, simhash_tiles, tokenizer_memo
 from sparkmart.llm.oracle import ORACLES
 from sparkmart.llm.queries import QUERIES
 from tests.llm.helpers import EDGE_TEXTS, frame, saved
-from tests.llm.test_rules import base_counts, plain_line_report
+from tests.llm.test_rules import base_counts, plain_frequent_lines, plain_line_report, plain_normalised
 from tests.llm.test_search import plain_components
 
 SMALL = "/root/testdata/sf0.001"
@@ -30,22 +30,26 @@ def corpus():
     texts += [line(400) for _ in range(3)]
     long = texts[-1].split()
     long[5] = "changed"
+    # a near copy, most of whose lines stand in the first text
+    texts.append("\n".join([*texts[0].split("\n"), line(3)]))
     return [*texts, " ".join(long), *EDGE_TEXTS]
 
 
 def plain_pipeline(texts):
     """(doc_id, text) before packing."""
     kept = []
+    frequent = plain_frequent_lines([(t, "s") for t in texts])
     for i, text in enumerate(texts):
         words, *_, repeated = base_counts(text)
-        if words >= 20 and 100 * repeated <= 30 * words:
-            kept.append((i, text))
+        new = "\n".join(x for x in (text or "").split("\n") if ("s", plain_normalised(x)) not in frequent)
+        if words >= 20 and 100 * repeated <= 30 * words and len(new.split()) >= 0.3 * words:
+            kept.append((i, new))
     report = plain_line_report([dict(kept).get(i) for i in range(len(texts))])
     left = []
     for i, text in kept:
         gone = {int(p) for p in report[i][5].split(",") if p}
         new = "\n".join(x for p, x in enumerate(text.split("\n")) if p not in gone)
-        if not gone or new.split():
+        if not gone or len(new.split()) >= max(0.3 * len(text.split()), 1):
             left.append((i, new))
     root = plain_components([simhash_tiles.fingerprint(t) % (1 << 64) for _, t in left])
     return [(i, secret_scan.masked(t)) for k, (i, t) in enumerate(left) if root[k] == k]

@@ -147,6 +147,41 @@ def test_base_counts_on_edges(spark):
         assert got[i] == (*want, want[0] < 20 or 100 * want[4] > 30 * want[0])
 
 
+def plain_normalised(line):
+    return line.strip(" \t\x0b\x0c\r").lower().translate(str.maketrans("123456789", "000000000"))
+
+
+def plain_frequent_lines(rows, limit=10):
+    """(host, line) of the lines above the limit; ``rows`` are (text, host)."""
+    seen = {}
+    for text, host in rows:
+        lines = {x for x in map(plain_normalised, (text or "").split("\n")) if x}
+        longest = sorted(lines, key=lambda x: (-len(x), x.encode()))
+        for line in lines:
+            others = tuple(x for x in longest if x != line)[:2]
+            texts, different = seen.setdefault((host, line), (set(), set()))
+            texts.add(text)
+            different.add(others)
+    return {key for key, (texts, different) in seen.items() if len(different) > limit and 2 * len(different) > len(texts)}
+
+
+def test_frequent_lines_equal_plain_counts(spark):
+    rng = random.Random(8)
+    own = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    menus = ["Menu A 1", "About us\t", "\x0bimprint and rights of the host 2020\r", "x"]
+    texts = ["\n".join(rng.sample([*rng.sample(menus, 2), own(5), own(8), own(3)], 5)) for _ in range(120)]
+    base = [own(9) for _ in range(6)]
+    near = ["\n".join([*base[:5], own(9)]) for _ in range(60)]
+    rows = [(t, rng.choice(["hot", "hot", "b", None])) for t in texts] + [(t, "hot") for t in near] + [(texts[0], "hot")] * 40 + [(t, "hot") for t in EDGE_TEXTS]
+    docs = spark.createDataFrame(rows, "text string, source string")
+    got = {(r["host"], h) for r in line_frequency.frequent_lines(docs).collect() for h in r["hs"]}
+    want = plain_frequent_lines(rows)
+    hashed = {(r["host"], r["h"]) for r in spark.createDataFrame(list(want), "host string, line string").select("host", F.xxhash64("line").alias("h")).collect()}
+    assert got == hashed and {"menu a 0", "about us", "x"} <= {line for _, line in want}
+    # a group of near copies keeps its lines
+    assert not {plain_normalised(x) for x in base} & {line for _, line in want}
+
+
 def test_documents_of_common_lines_only_are_rejected_and_copies_kept(spark):
     rng = random.Random(4)
     own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(25))
