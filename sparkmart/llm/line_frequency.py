@@ -7,8 +7,9 @@ third of all documents and a line they all share are one row per task.
 
 A line is above the limit if more than ``MAX_DOCUMENTS`` documents of a host have it that differ
 otherwise: whatever the size of the host.  Documents differ otherwise if the two longest of their
-other lines do (ties: the earlier UTF-8), and so must most of the line's documents: copies count
-once, and a group of near copies shares most long lines.  Both are left to deduplication.
+other lines do (ties: the earlier UTF-8), and so must three quarters of the line's documents: copies
+count once, and near copies of four lines or more, one of them changed, share most long lines.  Both
+are left to deduplication.
 
 A document that keeps less than ``MIN_LEFT`` of its words without the lines above the limit is
 depleted and rejected; ``without_frequent_lines`` gives the texts of the others without them.
@@ -118,7 +119,7 @@ def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text") ->
     seen = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("copy"), _lines(F.col(text)).alias("lines"))
     single = seen.groupBy("host", "copy").agg(F.first("lines").alias("lines"))
     counted = single.select("host", F.inline("lines")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c").alias("different"))
-    often = counted.filter((F.col("different") > MAX_DOCUMENTS) & (2 * F.col("different") > F.col("n")))
+    often = counted.filter((F.col("different") > MAX_DOCUMENTS) & (4 * F.col("different") > 3 * F.col("n")))
     return often.groupBy("host").agg(F.collect_list("h").alias("hs"))
 
 

@@ -30,7 +30,7 @@ beside AS (
     coalesce(list_filter(three, lambda x: x.l <> line)[1].l, '') || chr(10) || coalesce(list_filter(three, lambda x: x.l <> line)[2].l, '') AS others
   FROM lines JOIN longest USING (row)),
 often AS (
-  SELECT source, line FROM beside GROUP BY ALL HAVING count(DISTINCT others) > 10 AND 2 * count(DISTINCT others) > count(DISTINCT doc)),
+  SELECT source, line FROM beside GROUP BY ALL HAVING count(DISTINCT others) > 10 AND 4 * count(DISTINCT others) > 3 * count(DISTINCT doc)),
 shares AS (
   SELECT row, sum(CASE WHEN o.line IS NULL THEN n ELSE 0 END) / sum(n) AS share
   FROM lines l LEFT JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY row),

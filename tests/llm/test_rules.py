@@ -162,7 +162,7 @@ def plain_frequent_lines(rows, limit=10):
             texts, different = seen.setdefault((host, line), (set(), set()))
             texts.add(text)
             different.add(others)
-    return {key for key, (texts, different) in seen.items() if len(different) > limit and 2 * len(different) > len(texts)}
+    return {key for key, (texts, different) in seen.items() if len(different) > limit and 4 * len(different) > 3 * len(texts)}
 
 
 def test_frequent_lines_equal_plain_counts(spark):
