@@ -4,9 +4,9 @@ Lengths are at most ``CAPACITY``, so the corpus enters the program as a histogra
 that many bins at most, whatever its size.  A configuration says how many pieces of each
 length share a sequence.  The program - fewest configurations that cover the histogram -
 is solved by multiplicative weights: lengths have prices, a knapsack by dynamic
-programming finds the best configurations at these prices, and the prices of what they
-cover fall.  The fractional solution is rounded; what is left of the histogram goes by
-best fit into the room that is left and into new sequences, again on counts.  Best fit
+programming finds the best configurations at these prices, each begun by the longest length,
+whose price alone rises.  There are ``ROUNDS`` rounds and no gap check.  The fractional
+solution is rounded; what is left of the histogram goes by best fit into the room that is left and into new sequences, again on counts.  Best fit
 alone is the plan where it needs fewer sequences.
 
 Spark does the rest: it cuts and tokenizes, counts lengths, ranks the pieces of a length

@@ -7,8 +7,9 @@ blocks, a block of queries at a time.  A query descends to its longest prefix ma
 each array; then all trees are ascended together, to shorter and shorter prefixes, which
 adds candidates.  The ascent ends when a vector as near as the k-th best candidate would,
 by the chance that its bits agree, have been met in some tree with probability
-1 - ``MISS``.  Near neighbours are thus found deep in the trees among few candidates,
-while vectors without near ones are compared with much of a block.  What a block returns
+1 - ``MISS``.  Near neighbours are thus found deep in the trees, while vectors without near
+ones admit much of a block.  A block's scores are computed for all its entries before the
+trees are looked at: descent and ascent select among them.  What a block returns
 is scored in double precision on the original vectors.
 
 Equal vectors are one entry with its smallest ids, as ties go to the smaller id; a vector

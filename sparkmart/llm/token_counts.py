@@ -6,8 +6,9 @@ common boundary: a place in the overlap where both encodings have a token's edge
 where the tokenizer is proven to start anew whatever stands around it — a character that
 is not white space, followed by white space.  Tokens before it come from the left chunk,
 those behind it from the right one.  If an overlap has no such place it is widened, to the
-text's end if need be, so the count is exact for every text and memory is bounded by the
-longest stretch without white space.
+text's end if need be, so the count is exact for every text.  The chunk on the right is not
+widened: after a stretch without white space that is longer than a chunk's overlap can grow,
+the rest of the text is encoded in one piece.
 
 NULL and empty texts have no tokens.  Special strings count as the library counts them by
 default.  Repeated rows give repeated results.
