@@ -210,7 +210,12 @@ _BUILT = {
     "dim_payment_method": "select length(method_name) as x from stg_payment_methods",
     "dim_date": f"""select cast(strftime(d, '%Y%m%d') as integer) as x
         from (select unnest(generate_series(timestamp '{CALENDAR_START}', timestamp '{CALENDAR_END}', interval 1 day)) as d)""",
-    "fct_sales": "select gross_revenue as x from fct_sales",
+    # the raw lines are merged first; of equally new ones the largest stays, column by column
+    "fct_sales": """
+        select cast(quantity * unit_price as decimal(18,2)) as x from (
+            select distinct on (order_item_id) * from stg_order_items
+            order by order_item_id, updated_at desc nulls first, team_id desc, order_id desc, product_id desc, quantity desc,
+                     unit_price desc, discount_pct desc, line_total desc, created_at desc)""",
     "fct_payments": "select amount_paid as x from fct_payments",
     "flagged_payments": "select amount_paid as x from newest_payments where not amount_paid > 0",
     "fct_inventory_daily": """
