@@ -5,10 +5,9 @@ in chunks that overlap, with the offsets of their tokens.  Two neighbours are sp
 common boundary: a place in the overlap where both encodings have a token's edge, and
 where the tokenizer is proven to start anew whatever stands around it — a character that
 is not white space, followed by white space.  Tokens before it come from the left chunk,
-those behind it from the right one.  If an overlap has no such place it is widened, to the
-text's end if need be, so the count is exact for every text.  The chunk on the right is not
-widened: after a stretch without white space that is longer than a chunk's overlap can grow,
-the rest of the text is encoded in one piece.
+those behind it from the right one.  If an overlap has no such place it is widened, on both
+sides, to the text's end if need be, so the count is exact for every text.  What is encoded
+at once is a chunk or two, or a few times the longest stretch without white space.
 
 NULL and empty texts have no tokens.  Special strings count as the library counts them by
 default.  Repeated rows give repeated results.
@@ -37,24 +36,22 @@ def count_long(path: str, text: str, chunk: int = CHUNK_CHARS, overlap: int = OV
     """Tokens of one text, by chunks of ``chunk`` characters and what they overlap."""
     if len(text) <= chunk + overlap:
         return len(token_edges(path, text))
-    total, start, done, wide = 0, 0, 0, overlap
-    edges = None
-    while True:
-        stop = start + chunk + wide
-        if edges is None:
-            edges = token_edges(path, text[start:stop])
-        if stop >= len(text):
-            return total + sum(start + e > done for e in edges)
-        cut = start + chunk
-        right = token_edges(path, text[cut : cut + chunk + overlap])
+    total, start, done, stop = 0, 0, 0, chunk + overlap
+    edges = token_edges(path, text[:stop])
+    while stop < len(text):
+        cut = max(start + chunk, done)
+        right_stop = min(len(text), stop + chunk)
+        right = token_edges(path, text[cut:right_stop])
         common = {cut + e for e in right}.intersection(start + e for e in edges)
-        places = [m.start() for m in _STARTS_ANEW.finditer(text, cut + 1, stop - 1) if m.start() in common]
-        if not places:
-            wide, edges = wide * 2, None
+        places = (m.start() for m in _STARTS_ANEW.finditer(text, cut + 1, stop - 1) if m.start() in common)
+        splice = next(places, None)
+        if splice is None:
+            stop = min(len(text), cut + 2 * (stop - cut))
+            edges = token_edges(path, text[start:stop])
             continue
-        splice = places[0]
         total += sum(done < start + e <= splice for e in edges)
-        start, done, edges, wide = cut, splice, right, overlap
+        start, done, edges, stop = cut, splice, right, right_stop
+    return total + sum(start + e > done for e in edges)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, chunk_chars: int = CHUNK_CHARS) -> DataFrame:

@@ -77,6 +77,14 @@ def test_spliced_counts_are_those_of_the_whole_text(chunk, overlap):
         assert token_counts.count_long(BYTE, text, chunk, overlap) == len(tokenizer_memo.load(BYTE).encode(text, add_special_tokens=False))
 
 
+def test_chunks_stay_small_beside_a_long_stretch_without_white_space(monkeypatch):
+    sizes, plain = [], token_counts.token_edges
+    monkeypatch.setattr(token_counts, "token_edges", lambda path, text: sizes.append(len(text)) or plain(path, text))
+    text = "some words " * 40_000 + "ab1" * 23_000 + " more words" * 40_000
+    assert token_counts.count_long(BYTE, text) == len(plain(BYTE, text))
+    assert max(sizes) < 3 * 69_000 < len(text) / 4
+
+
 def test_token_counts_of_a_table(spark, documents):
     texts, folder = documents
     got = {r["doc_id"]: r for r in queries.op8_token_counts(spark, folder).collect()}
