@@ -38,6 +38,7 @@ _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
 #: Lines of base64 or hexadecimal digits, one after the other; the last one may be short.
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{40,}[ \t\r]*\n[ \t]*)+[A-Za-z0-9+/_-]+(?![A-Za-z0-9+/_-])={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_NO_HEX = re.compile(r"[^0-9a-fA-F]")
 #: A JSON object begins with a brace or white space.
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([eICD][A-Za-z0-9_-]{9,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _SSH_MAGIC = b"openssh-key-v1\x00"
@@ -106,11 +107,11 @@ def is_private_der(data: bytes) -> bool:
     return len(tags) >= 6 and all(tag == 0x02 for tag in tags[:6]) and len(inner[1][1]) >= 32
 
 
-def is_openssh(data: bytes) -> bool:
-    """An OpenSSH private key: magic, then cipher, derivation and its options as length-prefixed fields."""
-    if not data.startswith(_SSH_MAGIC):
+def is_openssh(data: bytes, at: int = 0) -> bool:
+    """An OpenSSH private key from ``at`` on: magic, then cipher, derivation and its options as length-prefixed fields."""
+    if not data.startswith(_SSH_MAGIC, at):
         return False
-    at = len(_SSH_MAGIC)
+    at += len(_SSH_MAGIC)
     for _ in range(3):
         size = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + size > len(data):
@@ -155,9 +156,9 @@ def _der_size(head: bytes) -> int:
     return 0 if n > 4 or head[1] == 0x80 else 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
 
 
-def _ssh_size(data: bytes) -> int:
-    """Bytes of the OpenSSH key at the beginning of ``data``: three fields, public keys, the private part; 0 if they go beyond it."""
-    at = len(_SSH_MAGIC)
+def _ssh_size(data: bytes, at: int) -> int:
+    """Bytes of the OpenSSH key that begins at ``at``: three fields, public keys, the private part; 0 if they go beyond the data."""
+    begin, at = at, at + len(_SSH_MAGIC)
     for _ in range(3):
         at += 4 + int.from_bytes(data[at : at + 4], "big")
     many = int.from_bytes(data[at : at + 4], "big")
@@ -166,14 +167,32 @@ def _ssh_size(data: bytes) -> int:
         if at + 4 > len(data):
             return 0
         at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at if 1 <= many <= 64 and at <= len(data) else 0
+    return at - begin if 1 <= many <= 64 and at <= len(data) else 0
+
+
+class _Decoded:
+    """Lines of digits, decoded once for each of the places at which a byte can begin."""
+
+    def __init__(self, whole: str, decode, chars: int, size: int):
+        self.whole, self.decode, self.chars, self.size = whole, decode, chars, size
+        self.known: dict[int, bytes] = {}
+
+    def from_(self, at: int) -> tuple[bytes, int]:
+        """Decoded bytes, and where in them what the digit ``at`` begins stands; what is no digit counts as zero."""
+        phase = at % self.chars
+        if phase not in self.known:
+            rest = self.whole[phase:] if self.decode is _decode else _NO_HEX.sub("0", self.whole[phase:])
+            self.known[phase] = self.decode(rest[: len(rest) - (len(rest) % self.chars == 1)]) or b""
+        return self.known[phase], (at - phase) // self.chars * self.size
 
 
 def _wrapped_spans(text: str) -> list[Span]:
     """Keys whose encoding goes on over several lines.
 
-    A line at which one can begin tells its size (DER) or goes on to the end of the lines;
-    a last line that is a word of the text after it is tried without.
+    A line at which one can begin tells its size (DER, OpenSSH) or goes on to the end of the
+    lines; a last line that is a word of the text after it is tried without.  A block is
+    decoded once for all its lines, and a PEM text in it is looked for at the first line only of
+    each place at which a byte can begin: later lines hold no more of it.
     """
     found: list[Span] = []
     for block in _LINES.finditer(text):
@@ -183,22 +202,25 @@ def _wrapped_spans(text: str) -> list[Span]:
         for part in parts:
             starts.append(starts[-1] + len(part))
         line_at = {at: k for k, at in enumerate(starts)}
+        ways = [(_Decoded(whole, _decode, 4, 3), 4 / 3), (_Decoded(whole, _unhex, 2, 1), 2)]
+        tried: set[tuple[int, int]] = set()
         done = 0
         for i, at in enumerate(starts[:-2]):
             if i < done:
                 continue
-            for decode, chars in ((_decode, 4 / 3), (_unhex, 2)):
-                head = decode(whole[at : at + 20]) or b""
+            for way, (decoded, chars) in enumerate(ways):
+                head = decoded.decode(whole[at : at + 20]) or b""
                 size, ends = _der_size(head), []
                 if head.startswith(_SSH_MAGIC[:10]):
-                    size = _ssh_size(decode(whole[at:]) or decode(whole[at : starts[-2]]) or b"")
-                    ends = [len(lines)]
+                    size = _ssh_size(*decoded.from_(at))
+                    ends = [len(lines)] if is_openssh(*decoded.from_(at)) else []
                 if size:
                     end = at - int(-size * chars // 1)
                     ends = [line_at[end]] if end in line_at else []
                 elif head.startswith(b"-----BEGIN"):
-                    ends = [len(lines) - 1, len(lines)]
-                kinds = ((end, _decoded_kind(decode(whole[at : starts[end]]))) for end in ends if end > i)
+                    ends = [] if (way, at % decoded.chars) in tried else [len(lines) - 1, len(lines)]
+                    tried.add((way, at % decoded.chars))
+                kinds = ((end, _decoded_kind(decoded.decode(whole[at : starts[end]]))) for end in ends if end > i)
                 end, kind = next(((end, kind) for end, kind in kinds if kind), (0, None))
                 if kind:
                     # a single line is a candidate of its own

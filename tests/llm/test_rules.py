@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -268,6 +269,19 @@ def test_lines_that_are_no_keys(text):
     assert secret_scan.confirmed_spans(text) == []
 
 
+@pytest.mark.parametrize("head", [b"openssh-key-v1\0" + b"\0" * 33, b"-----BEGIN RSA PRIVATE KEY-----" + b"x" * 16, KEY[:48]])
+def test_many_lines_that_begin_like_a_key_take_time_by_their_length(head):
+    line = b64(head) + "\n"
+    begun = time.process_time()
+    assert secret_scan.confirmed_spans(line * (500_000 // len(line))) == []
+    assert time.process_time() - begun < 8
+
+
+def test_a_key_in_digits_is_found_before_lines_of_other_digits():
+    text = wrapped(SSH_KEY.hex(), 60) + "\n" + wrapped(b64(bytes(range(250))), 60)
+    assert ("openssh", 0, len(wrapped(SSH_KEY.hex(), 60))) in secret_scan.confirmed_spans(text)
+
+
 def test_base_spans_and_masking():
     text = 'é PassWord = "hunter22" token:abc api_key=ABCDEF AKIA' + "Z" * 16 + " " + "0af" * 8 + " ſecret=abcdefgh"
     want = [("assign", m.start(), m.end()) for m in re.finditer(
