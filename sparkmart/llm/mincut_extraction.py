@@ -8,6 +8,10 @@ between neighbours on the page, and between blocks of the same or of sibling par
 it costly to part them.  The blocks on the source side of the minimum cut, in page order,
 are the text.
 
+A block knows the element that holds it, and elements know their parents, so time and memory
+grow with the page, however long or deeply nested it is.  Columns of the input beside
+``page_id, url, html`` are left out.
+
 Scripts, styles, controls and what is hidden never become blocks.  NULL and empty pages,
 and pages without content, give the empty text; markup that isn't closed is closed where
 its parent ends.  Repeated rows give repeated results.
@@ -16,7 +20,8 @@ its parent ends.  Repeated rows give repeated results.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import defaultdict, deque
+from collections.abc import Iterable
 from functools import lru_cache
 from html import unescape
 
@@ -64,15 +69,26 @@ WORD_WEIGHT, MOST_WORDS, BIAS, LINK_WEIGHT = 0.08, 40, -0.5, 3.0
 NEAR_WEIGHT, PARENT_WEIGHT = 0.3, 0.25
 #: Capacities are whole numbers.
 SCALE = 100
+#: Steps in the tree beyond which the edge of two neighbours rounds to nothing.
+FARTHEST = int(NEAR_WEIGHT * 2 * SCALE / 0.5)
+
+
+class Node:
+    """A block element of the document tree: its parent and its depth."""
+
+    __slots__ = ("depth", "parent")
+
+    def __init__(self, parent: Node | None):
+        self.parent, self.depth = parent, parent.depth + 1 if parent else 1
 
 
 class Block:
-    """A run of text: its pieces, characters in links, score of what is around it, and the elements above it."""
+    """A run of text: its pieces, characters in links, score of what is around it, and the block element that holds it."""
 
-    __slots__ = ("around", "links", "parts", "path")
+    __slots__ = ("around", "links", "node", "parts")
 
-    def __init__(self, path: tuple[int, ...], around: float):
-        self.path, self.around, self.parts, self.links = path, around, [], 0
+    def __init__(self, node: Node | None, around: float):
+        self.node, self.around, self.parts, self.links = node, around, [], 0
 
 
 @lru_cache(4096)
@@ -103,16 +119,24 @@ def element_weight(tag: str, attributes: str) -> tuple[float, bool]:
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[Block] = []
-    # open elements: tag, number, good and bad score so far, whether dropped
-    stack: list[tuple[str, int, float, float, bool]] = [("", 0, 0.0, 0.0, False)]
-    number = links = at = 0
+    # open elements: tag, block element, good and bad score so far, whether dropped
+    stack: list[tuple[str, Node | None, float, float, bool]] = [("", None, 0.0, 0.0, False)]
+    # where in the stack the elements of each tag are, and all block elements
+    open_: dict[str, list[int]] = defaultdict(list)
+    open_blocks: list[int] = []
+    at = 0
     block: Block | None = None
     size = len(html)
 
     def close(depth: int) -> None:
-        nonlocal links
-        links -= sum(e[0] == "a" for e in stack[depth:])
-        del stack[depth:]
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            open_[tag].pop()
+            if tag in BLOCK:
+                open_blocks.pop()
+
+    def innermost(tags: Iterable[str]) -> int:
+        return max((open_[tag][-1] for tag in tags if open_[tag]), default=0)
 
     def text(start: int, end: int) -> None:
         nonlocal block
@@ -122,10 +146,10 @@ def blocks(html: str) -> list[Block]:
         if block is None:
             if part.isspace():
                 return
-            block = Block(tuple(e[1] for e in stack if e[0] in BLOCK), min(MOST_GOOD, stack[-1][2]) + stack[-1][3])
+            block = Block(stack[-1][1], min(MOST_GOOD, stack[-1][2]) + stack[-1][3])
             found.append(block)
         block.parts.append(part)
-        if links:
+        if open_["a"]:
             block.links += len(part.strip())
 
     while at < size:
@@ -139,26 +163,21 @@ def blocks(html: str) -> list[Block]:
         if not tag:
             continue
         if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if depth:
-                close(depth)
+            if open_[tag]:
+                close(open_[tag][-1])
             if tag in BLOCK:
                 block = None
             continue
         if tag in BLOCK:
             block = None
             # a paragraph ends where another block begins
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCK), 0)
-            if depth and stack[depth][0] == "p":
-                close(depth)
+            if open_blocks and stack[open_blocks[-1]][0] == "p":
+                close(open_blocks[-1])
         if tag in CLOSES:
             same, within = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in within:
-                    break
-                if stack[i][0] in same.split():
-                    close(i)
-                    break
+            depth = innermost(same.split())
+            if depth > innermost(within):
+                close(depth)
         if tag in VOID:
             if tag in ("br", "hr", "img", "input") and block is not None:
                 block.parts.append(" ")
@@ -176,9 +195,11 @@ def blocks(html: str) -> list[Block]:
             weight = 0.0  # the head of the article itself
         if tag == "body":
             dropped = False
-        number += 1
-        links += tag == "a"
-        stack.append((tag, number, good + max(weight, 0.0), bad + min(weight, 0.0), dropped or hidden or tag in DROPPED))
+        node = Node(stack[-1][1]) if tag in BLOCK else stack[-1][1]
+        open_[tag].append(len(stack))
+        if tag in BLOCK:
+            open_blocks.append(len(stack))
+        stack.append((tag, node, good + max(weight, 0.0), bad + min(weight, 0.0), dropped or hidden or tag in DROPPED))
     return found
 
 
@@ -192,21 +213,36 @@ def score(block: Block, text: str) -> float:
     return BIAS + WORD_WEIGHT * n - LINK_WEIGHT * min(1.0, block.links / max(1, len(text))) + block.around
 
 
+def distance(a: Node | None, b: Node | None, most: int) -> int:
+    """Steps in the tree from one block element to another; some number above ``most`` if there are more."""
+    steps = 0
+    while a is not b and steps <= most:
+        x, y = (n.depth if n else 0 for n in (a, b))
+        a, b = a.parent if x >= y else a, b.parent if y >= x else b
+        steps += 1 + (x == y)
+    return steps
+
+
 def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Edges between neighbours on the page, and to the last block before under the same parent or its parent."""
+    """Edges between neighbours on the page, and to the last block before under the same parent or its parent.
+
+    Neighbours whose edge would be no whole number of capacity have none, so the way
+    between two of them in the tree is followed for ``FARTHEST`` steps only.
+    """
     edges, last = [], {}
     for i, block in enumerate(found):
-        path = block.path
         if i:
-            other = found[i - 1].path
-            common = next((k for k, (a, b) in enumerate(zip(path, other, strict=False)) if a != b), min(len(path), len(other)))
-            edges.append((i - 1, i, NEAR_WEIGHT * 2 / max(2, len(path) + len(other) - 2 * common)))
-        for k in (-2, -3):
-            parent = path[: k + 1] if len(path) >= -k else None
-            if parent and parent in last and last[parent] != i - 1:
-                edges.append((last[parent], i, PARENT_WEIGHT / (-k - 1)))
-            if parent:
-                last[parent] = i
+            steps = distance(block.node, found[i - 1].node, FARTHEST)
+            if steps <= FARTHEST:
+                edges.append((i - 1, i, NEAR_WEIGHT * 2 / max(2, steps)))
+        node = block.node
+        for k in (1, 2):
+            node = node.parent if node else None
+            if node is None:
+                break
+            if node in last and last[node] != i - 1:
+                edges.append((last[node], i, PARENT_WEIGHT / k))
+            last[node] = i
     return edges
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -31,6 +32,24 @@ def test_main_text(html, text):
     assert mincut_extraction.main_text(html) == text
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "li", "td", "a", "p"])
+def test_long_pages_without_end_tags_take_time_by_their_length(tag):
+    begun = time.process_time()
+    text = mincut_extraction.main_text(f"<article><p>{LONG}</p>" + f"<{tag}>some text</b></q>" * 30_000)
+    assert text.startswith(LONG) and time.process_time() - begun < 8
+
+
+def test_tree_distance_equals_that_of_paths():
+    rng, nodes, paths = random.Random(2), [None], [()]
+    for i in range(60):
+        k = rng.randrange(len(nodes))
+        nodes.append(mincut_extraction.Node(nodes[k]))
+        paths.append((*paths[k], i))
+    for x, y in itertools.product(range(len(nodes)), repeat=2):
+        common = sum(a == b for a, b in zip(paths[x], paths[y], strict=False))
+        assert mincut_extraction.distance(nodes[x], nodes[y], 99) == len(paths[x]) + len(paths[y]) - 2 * common
+
+
 def test_cut_is_minimal_on_all_small_graphs():
     rng = random.Random(6)
     for _ in range(150):
