@@ -3,11 +3,13 @@
 Lengths are at most ``CAPACITY``, so the corpus enters the program as a histogram of
 that many bins at most, whatever its size.  A configuration says how many pieces of each
 length share a sequence.  The program - fewest configurations that cover the histogram -
-is solved by multiplicative weights: lengths have prices, a knapsack by dynamic
-programming finds the best configurations at these prices, each begun by the longest length,
-whose price alone rises.  There are ``ROUNDS`` rounds and no gap check.  The fractional
-solution is rounded; what is left of the histogram goes by best fit into the room that is left and into new sequences, again on counts.  Best fit
-alone is the plan where it needs fewer sequences.
+is solved by multiplicative weights: lengths have prices, and a knapsack by dynamic
+programming prices the best filling of every room.  A round takes whole configurations of
+nearly the best value, as long as what they name is left; then prices of what was covered
+fall and those of what stays behind rise.  Any prices give a lower bound on all plans.  The fractional solution is rounded to whole configurations, and the program
+runs again on what is left, until the bound is met or a run settles less than ``PROGRESS`` of it.
+The shortest pieces, ``ASIDE`` of all tokens, stay out of the program: they and what is left go
+by best fit into the room that is left and into new sequences, again on counts.
 
 Spark does the rest: it cuts and tokenizes, counts lengths, ranks the pieces of a length
 (in buckets, so that a length held by a third of all pieces is no single task's sort) and
@@ -33,13 +35,18 @@ from sparkmart.llm.common import cut, map_texts, to_arrow
 from sparkmart.llm.tokenizer_memo import word_token_ids
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights, how fast weights grow, and what counts as nothing left.
-ROUNDS, STEP, EPSILON = 12, 1.0, 1e-9
+#: Rounds of a run, how fast prices move, and what counts as nothing left.
+ROUNDS, STEP, EPSILON = 20, 1.0, 1e-9
+#: How far below the best value a configuration may be; after a round that covers less than ``SLOW`` of the pieces it is ``EASED`` times as far.
+SLACK, SLOW, EASED = 0.01, 0.02, 1.5
+#: Share of the pieces left that a run must settle for another one to follow, and of all tokens that the shortest pieces hold.
+PROGRESS, ASIDE = 0.1, 0.005
 #: Pieces that one bucket of a length has on average, were they all of that length.
 BUCKET_PIECES = 4096
 
 #: A configuration: (length, how many of it), and how many sequences use it.
-Plan = list[tuple[tuple[tuple[int, int], ...], int]]
+Items = tuple[tuple[int, int], ...]
+Plan = list[tuple[Items, int]]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -56,56 +63,74 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
     return map_texts(docs, rows, PIECES)
 
 
-def knapsack(price: np.ndarray) -> np.ndarray:
-    """For each room, the length to take next in its most valuable filling (0: leave one token free)."""
+def knapsack(price: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each room, the value of its most valuable filling, and the length to take next in it (0: leave one token free)."""
     capacity = len(price) - 1
+    lengths = np.flatnonzero(price)
+    value = price[lengths]
+    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
     best = np.zeros(capacity + 1)
     take = np.zeros(capacity + 1, np.int64)
     for room in range(1, capacity + 1):
-        value = price[1 : room + 1] + best[room - 1 :: -1][:room]
-        k = int(value.argmax())
-        if value[k] > best[room - 1]:
-            best[room], take[room] = value[k], k + 1
-        else:
-            best[room] = best[room - 1]
-    return take
-
-
-def fractional_plan(need: np.ndarray, rounds: int = ROUNDS, step: float = STEP) -> list[tuple[tuple[tuple[int, int], ...], float]]:
-    """Configurations and how often each is used to cover ``need`` (pieces by length), not in whole numbers.
-
-    Each round covers every length by one share more.  A length's price is its size times
-    a weight; one knapsack prices the fillings of all rooms.  Longest first, a length that
-    is behind takes the best filling of the room beside it, or, where the round's share of
-    what that names is used up, the longest length that still fits.  A weight grows by the
-    factor exp(``step`` x the part of its sequences that stayed free): what packs badly
-    gets dearer, and is taken earlier as a filling in the next round.
+        best[room] = best[room - 1]
+        if fitting[room]:
+            values = value[: fitting[room]] + best[room - lengths[: fitting[room]]]
+            k = int(values.argmax())
+            if values[k] > best[room]:
+                best[room], take[room] = values[k], lengths[k]
+    return best, take
+
+
+def configuration(length: int, take: list[int]) -> Items:
+    """``length`` and the best filling of the room beside it, longest first."""
+    items, room = Counter([length]), len(take) - 1 - length
+    while room > 0:
+        if take[room]:
+            items[take[room]] += 1
+        room -= take[room] or 1
+    return tuple(sorted(items.items(), reverse=True))
+
+
+def fractional_plan(need: np.ndarray, rounds: int = ROUNDS) -> tuple[list[tuple[Items, float]], float]:
+    """(configurations and how often each is used, a lower bound on the sequences that ``need`` - pieces by length - takes).
+
+    No length is covered more often than needed; with few ``rounds`` some are covered less.
+    Configurations are begun by the longer half of the lengths: of pieces longer than half a
+    sequence no two meet, so each begins one anyway, and shorter ones are kept to fill it.
+    A length's price is its size times a weight.  Prices at which no configuration is worth
+    more than one sequence prove that the pieces' total price is a lower bound.
     """
     capacity = len(need) - 1
     size = np.arange(capacity + 1) / capacity
-    lengths = np.flatnonzero(need)[::-1].tolist()
     weight = np.ones(capacity + 1)
-    chosen: dict[tuple[tuple[int, int], ...], float] = defaultdict(float)
+    left = need.astype(float)
+    chosen: dict[Items, float] = defaultdict(float)
+    bound, slack = 0.0, SLACK
     for _ in range(rounds):
-        take = knapsack(np.where(need > 0, size * weight, 0.0)).tolist()
-        share = (need / rounds).tolist()
-        for length in lengths:
-            while share[length] > EPSILON:
-                items, room = Counter([length]), capacity - length
-                while room > 0:
-                    k = take[room]
-                    if not k or share[k] <= EPSILON:
-                        k = next((x for x in range(room, 0, -1) if share[x] > EPSILON), 0)
-                    if not k:
-                        break
-                    items[k] += 1
-                    room -= k
-                amount = min(share[k] / many for k, many in items.items())
-                for k, many in items.items():
-                    share[k] -= amount * many
-                weight[length] *= np.exp(step * amount * rounds / need[length] * room / capacity)
-                chosen[tuple(sorted(items.items(), reverse=True))] += amount
-    return list(chosen.items())
+        price = np.where(left > 0, size * weight, 0.0)
+        best, take = knapsack(price)
+        if not best[capacity]:
+            break
+        bound = max(bound, float(need @ price) / best[capacity])
+        enough, take = (1 - slack) * best[capacity], take.tolist()
+        open_ = left.copy()
+        lengths = np.flatnonzero(left)[::-1]
+        for length in lengths[lengths > lengths[0] // 2].tolist():
+            items = configuration(length, take)
+            if sum(price[k] * many for k, many in items) < enough:
+                continue
+            amount = min(open_[k] / many for k, many in items)
+            if amount > EPSILON:
+                chosen[items] += amount
+                for k, many in items:
+                    open_[k] -= amount * many
+        covered, some = left - open_, left > 0
+        part = covered[some] / left[some]
+        weight[some] *= np.exp(STEP * (part.mean() - part))
+        left = np.where(open_ > EPSILON, open_, 0.0)
+        if covered.sum() < SLOW * need.sum():
+            slack = min(1.0, slack * EASED)
+    return list(chosen.items()), bound
 
 
 def best_fit(need: np.ndarray, begun: Plan = ()) -> Plan:
@@ -134,29 +159,46 @@ def best_fit(need: np.ndarray, begun: Plan = ()) -> Plan:
     return [group for groups in open_.values() for group in groups]
 
 
-def packing_plan(need: np.ndarray, rounds: int = ROUNDS) -> Plan:
-    """Configurations in whole numbers that hold every piece of ``need`` exactly once.
+def rounded(left: np.ndarray, chosen: list[tuple[Items, float]]) -> Plan:
+    """Whole configurations for fractional ones, as far as their pieces are ``left``, from which they are taken.
 
-    Rounding goes through the configurations with a carry, so their sum stays what the
-    program says; a configuration takes no more of a length than is left.
+    What an amount has above a whole number is carried to the next configuration.
     """
-    left = need.astype(np.int64).copy()
-    begun: Plan = []
+    plan: Plan = []
     carry = 0.0
-    for items, amount in fractional_plan(need, rounds):
+    for items, amount in chosen:
         carry += amount
-        n = int(carry)
-        carry -= n
-        while n > 0:
-            own = tuple((k, min(many, int(left[k]))) for k, many in items if left[k])
-            if not own:
-                break
-            times = max(1, min(n, *(int(left[k]) // many for k, many in own)))
-            begun.append((own, times))
-            for k, many in own:
-                left[k] -= many * times
-            n -= times
-    return min(best_fit(left, begun), best_fit(need), key=lambda plan: sum(n for _, n in plan))
+        n = min(int(carry + EPSILON), *(int(left[k]) // many for k, many in items))
+        carry = min(carry - n, 1.0)
+        if n:
+            plan.append((items, n))
+            for k, many in items:
+                left[k] -= many * n
+    return plan
+
+
+def packing_plan(need: np.ndarray, rounds: int = ROUNDS) -> Plan:
+    """Configurations in whole numbers that hold every piece of ``need`` exactly once; of several runs the plan with fewest."""
+    tokens = need * np.arange(len(need))
+    aside = np.where(np.cumsum(tokens) <= ASIDE * tokens.sum(), need, 0)
+    left = (need - aside).astype(np.int64)
+    begun: Plan = []
+    best: Plan | None = None
+    bound = -(-int(tokens.sum()) // (len(need) - 1))
+    while True:
+        before = int(left.sum())
+        chosen, least = fractional_plan(left, rounds)
+        if not begun:
+            bound = max(bound, int(np.ceil(least - 1e-6)))
+        begun += rounded(left, chosen)
+        plan = best_fit(left + aside, begun)
+        best = plan if best is None else min(best, plan, key=sequences)
+        if sequences(best) <= bound or before - left.sum() < max(1, PROGRESS * before):
+            return best
+
+
+def sequences(plan: Plan) -> int:
+    return sum(n for _, n in plan)
 
 
 class Places:
@@ -197,9 +239,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
     if not total:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     places = Places(packing_plan(need, rounds))
-    # documents without an id are told apart by their content: together they can be many
-    own = F.when(F.col("doc_id").isNull(), F.col("ids_crc32"))
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", own), F.lit(-(-total // BUCKET_PIECES))).cast("int")
+    # rows of one id, or of none, are told apart by their content: together they can be many
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(-(-total // BUCKET_PIECES))).cast("int")
     keyed = pieces.withColumn("_bucket", bucket)
     before = F.sum("count").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     sizes = keyed.groupBy("length", "_bucket").count().select("length", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))

@@ -1,6 +1,8 @@
 """Operators 6, 8 and 9 against the libraries on whole texts."""
 
+import functools
 import hashlib
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -141,11 +143,39 @@ def test_plan_packs_every_piece_near_the_bound(n):
 def test_fractional_plan_covers_the_histogram():
     need = np.bincount(np.random.default_rng(1).integers(1, 65, 5000), minlength=65)
     covered = np.zeros(65)
-    for items, amount in best_fit_packing.fractional_plan(need):
+    chosen, bound = best_fit_packing.fractional_plan(need, rounds=500)
+    for items, amount in chosen:
         assert sum(length * many for length, many in items) <= 64
         for length, many in items:
             covered[length] += many * amount
     assert np.allclose(covered, need, atol=1e-3)
+    assert bound <= sum(amount for _, amount in chosen) + 1e-6 <= 1.03 * bound
+
+
+def test_plan_and_bound_enclose_the_fewest_sequences():
+    @functools.cache
+    def fewest(pieces):
+        """By trying every set of pieces that fits beside the longest one."""
+        if not pieces:
+            return 0
+        first, rest = pieces[0], pieces[1:]
+        sets = {tuple(sorted(some)) for n in range(len(rest) + 1) for some in itertools.combinations(range(len(rest)), n) if first + sum(rest[i] for i in some) <= 12}
+        return 1 + min(fewest(tuple(x for i, x in enumerate(rest) if i not in some)) for some in sets)
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        pieces = tuple(sorted(rng.integers(1, 13, rng.integers(1, 9)).tolist(), reverse=True))
+        need = np.bincount(pieces, minlength=13)
+        _, bound = best_fit_packing.fractional_plan(need)
+        packed = best_fit_packing.sequences(best_fit_packing.packing_plan(need))
+        assert bound - 1e-6 <= fewest(pieces) <= packed <= fewest(pieces) + 1
+
+
+@pytest.mark.parametrize(("lengths", "most"), [((500, 1100), 0.98), ((300, 1024), 0.98), ((1, 2049), 1.01)])
+def test_program_against_best_fit_alone(lengths, most):
+    need = np.bincount(np.random.default_rng(3).integers(*lengths, 3000), minlength=2049)
+    plan = best_fit_packing.packing_plan(need)
+    assert best_fit_packing.sequences(plan) <= most * best_fit_packing.sequences(best_fit_packing.best_fit(need))
 
 
 @pytest.mark.parametrize("query", ["op6_best_fit_packing", "op8_token_counts", "op9_sentencepiece"])
