@@ -8,12 +8,13 @@ each array; then all trees are ascended together, to shorter and shorter prefixe
 adds candidates.  The ascent ends when a vector as near as the k-th best candidate would,
 by the chance that its bits agree, have been met in some tree with probability
 1 - ``MISS``.  Near neighbours are thus found deep in the trees, while vectors without near
-ones admit much of a block.  A block's scores are computed for all its entries before the
-trees are looked at: descent and ascent select among them.  What a block returns
-is scored in double precision on the original vectors.
+ones admit much of a block.  Only what a prefix adds is scored, once for each query.  What a
+block returns is scored again, in double precision on the original vectors.
 
 Equal vectors are one entry with its smallest ids, as ties go to the smaller id; a vector
-held by a third of all rows is one entry too.  Vectors that are NULL, empty, zero or hold
+held by a third of all rows is one entry too.  Rows that share an id but not the vector are
+candidates of their own, so one id can be several neighbours; as queries they share one list,
+of the nearest to any of them.  Rows without an id take no part.  Vectors that are NULL, empty, zero or hold
 NULL or non-finite components take no part, as queries or candidates; vectors of different
 dimension don't meet.  A query gets fewer rows only if there are fewer candidates.
 """
@@ -70,6 +71,8 @@ class Forest:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, trees: int = TREES):
         self.ids, self.vectors, self.trees = ids, vectors, trees
         self.unit = unit(vectors)
+        #: Entries scored so far, for all queries.
+        self.scored = 0
         hashes = hash_strings(self.unit, trees)
         self.order = np.argsort(hashes, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(hashes, self.order.T, axis=0).T.copy()
@@ -83,8 +86,7 @@ class Forest:
         return np.concatenate([q + i * rows for i, (q, _) in enumerate(found)]), np.concatenate([e for _, e in found])
 
     def _chunk(self, asks: np.ndarray, hashes: np.ndarray, k: int, miss: float) -> tuple[np.ndarray, np.ndarray]:
-        scores = asks @ self.unit.T
-        known = np.full(scores.shape, -np.inf)
+        known = np.full((len(asks), len(self.ids)), -np.inf)
         active = np.arange(len(asks))
         low = np.zeros((len(asks), self.trees), np.int64)
         high = np.zeros_like(low)
@@ -97,13 +99,18 @@ class Forest:
                 new_high[:, t] = np.searchsorted(self.sorted[t], (prefix[:, t] + 1) << shift)
             old_low, old_high = low[active], high[active]
             begun = old_high > old_low
+            added = np.zeros((len(active), len(self.ids)), bool)
             # what the shorter prefix adds on either side
             for first, last in ((new_low, np.where(begun, old_low, new_high)), (np.where(begun, old_high, new_high), new_high)):
                 size = (last - first).ravel()
                 at = np.repeat(first.ravel() - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 query, tree = (np.repeat(x.ravel(), size) for x in np.indices(first.shape))
                 entry = self.order[tree, at]
-                known[active[query], entry] = scores[active[query], entry]
+                added[query, entry] = True
+            for q, some in zip(active.tolist(), added, strict=True):
+                entry = np.flatnonzero(some & (known[q] == -np.inf))
+                known[q, entry] = self.unit[entry] @ asks[q]
+                self.scored += len(entry)
             low[active], high[active] = new_low, new_high
             if len(self.ids) >= k:
                 worst = np.partition(known[active], len(self.ids) - k, axis=1)[:, len(self.ids) - k]

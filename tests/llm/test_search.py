@@ -103,6 +103,24 @@ def test_recall_and_scores(spark, scratch):
     assert len(rows) == 5 * len(want) and hits >= 0.9 * len(rows)
 
 
+def test_only_what_prefixes_add_is_scored():
+    rng = np.random.default_rng(2)
+    vectors = np.array([v for _, v in clustered(6000, rng)], float)
+    forest = prefix_forest.Forest(np.arange(6000), vectors)
+    query, entry = forest.search(vectors[:200], 6)
+    assert forest.scored < 0.5 * 200 * 6000
+    unit = prefix_forest.unit(vectors)
+    best = np.argsort(-(unit[:200] @ unit.T), axis=1)[:, :6]
+    assert len({*zip(query.tolist(), entry.tolist(), strict=True)} & {(q, e) for q in range(200) for e in best[q].tolist()}) >= 0.9 * 1200
+
+
+def test_rows_that_share_an_id(spark):
+    vectors = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [1.0, 0.5]), (3, [0.5, 1.0]), (None, [1.0, 0.0])]
+    rows = prefix_forest.nearest(spark.createDataFrame(vectors, "id long, vector array<double>"), 5, 50).orderBy("rank").collect()
+    assert [(r["rank"], r["id"]) for r in rows] == [(1, 2), (2, 3), (3, 1), (4, 1), (5, 2)]
+    assert [r["score"] for r in rows] == pytest.approx([0.8**0.5, 0.8**0.5, 0.5**0.5, 0.5**0.5, 0.2**0.5])
+
+
 def test_copies_ties_and_unusable_vectors(spark, scratch):
     vectors = [(i, [1.0, 2.0]) for i in range(40)] + [(100, [2.0, 4.0]), (101, [-1.0, 0.0]), (102, None), (103, []), (104, [0.0, 0.0]),
                (105, [float("nan"), 1.0]), (150, [None, 1.0]), (200, [float("inf"), 1.0]), (250, [1.0]), (300, [1e-30, 2e-30]), (300, [1e-30, 2e-30])]
