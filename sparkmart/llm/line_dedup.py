@@ -4,8 +4,8 @@ Equal lines are folded first.  A line of length L is cut into ``THRESHOLD`` + 1
 whoever is within ``THRESHOLD`` edits of it holds one of them unchanged, at a place that
 the lengths bound.  Each distinct line therefore puts its segments into an index keyed by
 (length, number, segment), and probes the segments of all lengths up to ``THRESHOLD`` less
-at the places that are possible.  Lines that meet there, and whose letter counts are near
-enough, are verified by a banded bit-parallel edit distance.
+at the places that are possible.  Lines that meet there, and whose counts of letters and
+digits are near enough, are verified by a banded bit-parallel edit distance.
 
 A line goes if an equal line, or one within the threshold, occurs earlier; the order is
 (``doc_id``, position).  Lines under ``MIN_CHARS`` characters are compared for equality
@@ -35,8 +35,11 @@ THRESHOLD, MIN_CHARS = 2, 24
 MIN_WORDS, WORDS_EACH = 10, 20
 #: A word sketch: parities of words in so many bits, then the number of words up to a limit, then a mark.
 _PARITIES, _MOST_WORDS = 51, 4095
-#: Letters whose counts tell lines apart that share a segment.
-LETTERS = "etaonrhsildu"
+#: Characters whose counts tell lines apart that share a segment, by the bits of a count: digits, as lines
+#: often differ in a number only, and frequent letters.
+COUNTED = [*((c, 2) for c in "0123456789"), *((c, 4) for c in "etaonrsi")]
+#: Bits of a line's length in a sketch.
+LENGTH_BITS = 10
 #: White space at a line's ends, which doesn't count.
 BLANKS = " \t\x0b\x0c\r"
 #: Most keys of lines that are broadcast; with more of them the lines are shuffled to their keys.
@@ -112,11 +115,18 @@ def _signature(length: Column, i: int, shift: int, threshold: int) -> Column:
     return F.xxhash64(length, F.lit(i), F.substring(F.col(f"t{i}"), start + shift - F.col(f"p{i}") + 1, size))
 
 
+def _fields() -> list[tuple[int, int]]:
+    """(place, bits) of the length and of each count in a sketch."""
+    sizes = [LENGTH_BITS, *(bits for _, bits in COUNTED)]
+    return [(sum(sizes[:i]), bits) for i, bits in enumerate(sizes)]
+
+
 def sketch(line: Column, length: Column) -> Column:
-    """Counts of :data:`LETTERS`, four bits each, above the length's last sixteen bits; each wraps around."""
-    each = [F.size(F.split(line, c)) % 16 for c in LETTERS]
-    parts = [length % 65536, *each]
-    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(part.cast("long"), at) for part, at in zip(parts, [0, *range(16, 64, 4)], strict=True)])
+    """The length's last bits, then counts of :data:`COUNTED`; each wraps around."""
+    octets = F.octet_length(line)
+    each = [length, *(octets - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c, _ in COUNTED)]
+    parts = [F.shiftleft((n % (1 << bits)).cast("long"), at) for n, (at, bits) in zip(each, _fields(), strict=True)]
+    return reduce(lambda x, y: x.bitwiseOR(y), parts)
 
 
 def sketches_near(x: Column, y: Column, threshold: int) -> Column:
@@ -129,8 +139,9 @@ def sketches_near(x: Column, y: Column, threshold: int) -> Column:
         d = (F.shiftrightunsigned(x, at).bitwiseAND(size - 1) - F.shiftrightunsigned(y, at).bitwiseAND(size - 1)).bitwiseAND(size - 1)
         return F.least(d, size - d)
 
-    counts = reduce(lambda p, q: p + q, [apart(at, 4) for at in range(16, 64, 4)])
-    return (apart(0, 16) <= threshold) & (counts <= 2 * threshold)
+    (at, bits), *counted = _fields()
+    counts = reduce(lambda p, q: p + q, [apart(*field) for field in counted])
+    return (apart(at, bits) <= threshold) & (counts <= 2 * threshold)
 
 
 def within_distance(long: Column, short: Column, threshold: int) -> Column:
@@ -196,7 +207,7 @@ def candidates(different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     asks = different.select("a", "sketch", F.explode(every).alias("signature"))
     near = sketches_near(F.col("sketch"), F.col("sketch2"), threshold)
     # either of two lines of one length finds the other: one direction is enough
-    length = lambda c: F.col(c).bitwiseAND(65535)
+    length = lambda c: F.col(c).bitwiseAND((1 << LENGTH_BITS) - 1)
     once = (length("sketch") != length("sketch2")) | (F.col("a") > F.col("a2"))
     return asks.join(entries, "signature").filter(near & once).select("a", "a2").distinct()
 
