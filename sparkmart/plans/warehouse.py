@@ -17,6 +17,7 @@ Deliberate choices where the source system's own build is vague or unsafe:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime, timezone
 
@@ -33,6 +34,7 @@ from sparkmart.together import together
 
 from . import dimensions as dims
 from . import facts
+from .monthly import MONTHLY, RUN, MonthlyTable, changed_months, in_months, write_changes
 from .staging import STAGING
 
 
@@ -61,10 +63,7 @@ CHECKS = [Check(t, c, kind) for t, c in _KEYS.items() for kind in ("unique", "no
     Check(child, column, "relationships", parent, column) for child, parent, column in _REFERENCES
 ]
 
-#: Month of the business date: the folder a fact row is kept in.
-MONTH = "created_month"
-
-RUN, STATE = "run", "state"
+STATE = "state"
 
 
 class Models(Mapping[str, DataFrame]):
@@ -132,7 +131,7 @@ DATE_ROLES = {
     "fct_order_lifecycle": {"ordered": "ordered_at", "shipped": "shipped_at", "delivered": "delivered_at"},
 }
 #: Models that are written; all others are views.
-TABLES = ("fct_sales", "fct_payments")
+TABLES = tuple(MONTHLY)
 
 
 def last_run(spark: SparkSession, state_dir: str) -> int:
@@ -184,6 +183,33 @@ def _load(spark: SparkSession, src_dir: str, state_dir: str, run: int) -> dict[s
     return together(spark, {entity: lambda e=entity: raw(e) for entity in ENTITIES})
 
 
+def _write_facts(
+    spark: SparkSession, state_dir: str, out_dir: str, run: int, models: Models, histories: Mapping[str, DataFrame],
+    read_from: str, date_keys: bool,
+) -> dict[str, DataFrame]:
+    """The two large facts, of which only the months that this run's load can change are built and written."""
+    tables = {name: MonthlyTable(f"{out_dir}/{name}", f"{state_dir}/months/{name}") for name in TABLES}
+
+    def fact(name: str, months: list[int | None] | None) -> DataFrame:
+        lines = f"stg_{MONTHLY[name].lines}"
+        # a line of the merged tables has one row, so rows of other months don't decide on it
+        some = {} if months is None else {lines: models[lines].filter(in_months(F.col("created_at"), months))}
+        rows = Models(spark, models.raw, histories, some, models.days)[name]
+        return facts.fact_date_key(rows, models["dim_date"], DATE_ROLES[name]) if date_keys else rows
+
+    build = {name: json.dumps([fact(name, None).schema.jsonValue(), read_from, [str(d) for d in models.days]]) for name in TABLES}
+    same = [name for name in TABLES if read_from == "merged" and tables[name].built_as(spark, run - 1, build[name])]
+    read = {e for name in same for e in ("orders", MONTHLY[name].lines, *MONTHLY[name].by_line.values(), *MONTHLY[name].by_order.values())}
+    changes = together(spark, {e: lambda e=e: write_changes(spark, state_dir, e, run) for e in sorted(read)})
+
+    def write(name: str) -> DataFrame:
+        months = changed_months(MONTHLY[name], models, changes) if name in same else None
+        written = tables[name].write(spark, lambda some: fact(name, some), months, run, build[name])
+        return materialize(written, name)
+
+    return together(spark, {name: lambda n=name: write(n) for name in TABLES})
+
+
 def run_pipeline(
     spark: SparkSession, src_dir: str, state_dir: str, out_dir: str, read_from: str = "merged",
     days: tuple[str, str] = (dims.CALENDAR_START, dims.CALENDAR_END), date_keys: bool = False,
@@ -191,8 +217,8 @@ def run_pipeline(
     """Load, snapshot, build and check; returns the quality report.
 
     ``src_dir`` holds one Parquet table per entity.  A stage that fails raises, and
-    nothing after it runs.  The two large facts are written under ``out_dir``; all other
-    models are temp views.  ``days`` are the first and last day of the calendar;
+    nothing after it runs.  The two large facts are written under ``out_dir`` by month, of
+    a later run only the months that its load can change; all other models are temp views.  ``days`` are the first and last day of the calendar;
     ``date_keys`` adds to the facts the calendar's keys of their dates (``DATE_ROLES``).
     """
     run = last_run(spark, state_dir) + 1
@@ -203,16 +229,12 @@ def run_pipeline(
     histories = together(spark, {e: lambda e=e: snapshot_run(spark, state_dir, e, staged[f"stg_{e}"], run) for e in SNAPSHOTS})
 
     models = Models(spark, raw, histories, days=days)
-    if date_keys:
-        for name, roles in DATE_ROLES.items():
-            models.built[name] = facts.fact_date_key(models[name], models["dim_date"], roles)
-    month = F.year("created_at") * 100 + F.month("created_at")
-    months = {name: models[name].withColumn(MONTH, month) for name in TABLES}
-    written = together(spark, {
-        name: lambda n=name: materialize(months[n], n, "table", f"{out_dir}/{RUN}={run}/{n}", MONTH) for name in TABLES
-    })
-    keyed = {name: models[name] for name in DATE_ROLES if date_keys} | written
-    models = Models(spark, raw, histories, keyed, days)
+    written = _write_facts(spark, state_dir, out_dir, run, models, histories, read_from, date_keys)
+    keyed = {
+        name: facts.fact_date_key(models[name], models["dim_date"], roles)
+        for name, roles in DATE_ROLES.items() if date_keys and name not in TABLES
+    }
+    models = Models(spark, raw, histories, keyed | written, days)
     for name in models:
         if name not in TABLES:
             materialize(models[name], name)
