@@ -37,9 +37,9 @@ MIN_WORDS, WORDS_EACH = 10, 20
 _PARITIES, _MOST_WORDS = 51, 4095
 #: Characters whose counts tell lines apart that share a segment, by the bits of a count: digits, as lines
 #: often differ in a number only, and frequent letters.
-COUNTED = [*((c, 2) for c in "0123456789"), *((c, 4) for c in "etaonrsi")]
-#: Bits of a line's length in a sketch.
-LENGTH_BITS = 10
+DIGITS, LETTERS = [(c, 2) for c in "0123456789"], [(c, 3) for c in "etaonrsihdluc"]
+#: Bits of a line's length in a sketch: what lines within the threshold can differ in.
+LENGTH_BITS = 2
 #: White space at a line's ends, which doesn't count.
 BLANKS = " \t\x0b\x0c\r"
 #: Most keys of lines that are broadcast; with more of them the lines are shuffled to their keys.
@@ -115,33 +115,39 @@ def _signature(length: Column, i: int, shift: int, threshold: int) -> Column:
     return F.xxhash64(length, F.lit(i), F.substring(F.col(f"t{i}"), start + shift - F.col(f"p{i}") + 1, size))
 
 
-def _fields() -> list[tuple[int, int]]:
-    """(place, bits) of the length and of each count in a sketch."""
-    sizes = [LENGTH_BITS, *(bits for _, bits in COUNTED)]
-    return [(sum(sizes[:i]), bits) for i, bits in enumerate(sizes)]
+def _ring(count: Column, bits: int, at: int) -> Column:
+    """A count, wrapping around at twice ``bits``, as bits of which one changes whenever it changes by one."""
+    size = (1 << bits) - 1
+    codes = [size & (((1 << n) - 1) ^ ((1 << max(n - bits, 0)) - 1)) for n in range(2 * bits)]
+    # all codes in one number, so that a look is a shift
+    packed = F.lit(sum(code << n * bits for n, code in enumerate(codes))).cast("long")
+    code = F.call_function("shiftright", packed, count % (2 * bits) * bits).bitwiseAND(size)
+    return F.shiftleft(code, at)
 
 
 def sketch(line: Column, length: Column) -> Column:
-    """The length's last bits, then counts of :data:`COUNTED`; each wraps around."""
+    """The length's last bits, then counts of :data:`DIGITS` and :data:`LETTERS` as rings of bits.
+
+    Two rings differ in as many bits as their counts differ, around the ring.
+    """
     octets = F.octet_length(line)
-    each = [length, *(octets - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c, _ in COUNTED)]
-    parts = [F.shiftleft((n % (1 << bits)).cast("long"), at) for n, (at, bits) in zip(each, _fields(), strict=True)]
-    return reduce(lambda x, y: x.bitwiseOR(y), parts)
 
+    def counts(some: list[tuple[str, int]], at: int) -> Column:
+        rings = []
+        for c, bits in some:
+            rings.append(_ring(octets - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), bits, at))
+            at += bits
+        return reduce(lambda x, y: x.bitwiseOR(y), rings)
 
-def sketches_near(x: Column, y: Column, threshold: int) -> Column:
-    """Whether counts and lengths differ by no more than ``threshold`` edits can change: a necessary condition.
+    # most lines hold no digit: one look in place of a count of each
+    digits = F.when(line.rlike("[0-9]"), counts(DIGITS, LENGTH_BITS)).otherwise(F.lit(0).cast("long"))
+    letters = counts(LETTERS, LENGTH_BITS + sum(bits for _, bits in DIGITS))
+    return (length % (1 << LENGTH_BITS)).cast("long").bitwiseOR(digits).bitwiseOR(letters)
 
-    An edit changes two counts by one at most, and the length by one.
-    """
-    def apart(at: int, bits: int) -> Column:
-        size = 1 << bits
-        d = (F.shiftrightunsigned(x, at).bitwiseAND(size - 1) - F.shiftrightunsigned(y, at).bitwiseAND(size - 1)).bitwiseAND(size - 1)
-        return F.least(d, size - d)
-
-    (at, bits), *counted = _fields()
-    counts = reduce(lambda p, q: p + q, [apart(*field) for field in counted])
-    return (apart(at, bits) <= threshold) & (counts <= 2 * threshold)
+
+def sketches_near(x: Column, y: Column, threshold: int) -> Column:
+    """Whether counts differ by no more than ``threshold`` edits can change, two by one each: a necessary condition."""
+    return F.bit_count(F.shiftrightunsigned(x.bitwiseXOR(y), LENGTH_BITS)) <= 2 * threshold
 
 
 def within_distance(long: Column, short: Column, threshold: int) -> Column:
