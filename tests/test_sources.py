@@ -342,3 +342,19 @@ def test_jdbc_options():
 
 def test_nine_entities_have_an_id():
     assert len(ENTITIES) == 9 and all(RAW_SCHEMAS[e].fieldNames()[0] == "id" for e in ENTITIES)
+
+
+def test_landed_entities_and_batches_are_compressed(spark, scratch, monkeypatch):
+    from pathlib import Path
+
+    from sparkmart import registry
+
+    rows = spark.createDataFrame([("b", "2024-01-02", 1), ("a", "2024-01-01", 2), ("a", None, 3)], "id string, updated_at string, value int")
+    monkeypatch.setattr(registry.dt, "raw_tables", lambda spark, sf: {"things": rows})
+    state = registry.ExtractState(scratch("landing"), scratch("lake"))
+    registry._land_entities(spark, "", state)
+    assert {"".join(f.suffixes) for f in Path(state.landing("things")).glob("part-*")} == {".txt.gz"}
+    assert registry.extract_entity(spark, "things", state) == 3
+    assert all(".zstd." in f.name for f in Path(state.table("things")).glob("batch=*/part-*"))
+    got = state.entity(spark, "things").select("id", "updatedAt", "value").collect()
+    assert sorted(map(tuple, got), key=str) == [("a", None, 3), ("b", "2024-01-02", 1)]
