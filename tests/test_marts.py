@@ -243,3 +243,21 @@ def test_days_outside_the_calendar_keep_their_month(spark):
     trend = reports.revenue_trend({"fct_sales": sales, "dim_date": dims.dim_date(spark)})
     assert tuples(trend.filter("date_key is null"), "year", "month", "revenue", "month_revenue") == [
         (2022, 1, D("1.00"), D("11.00")), (2022, 1, D("10.00"), D("11.00")), (2023, 5, D("5.00"), D("5.00"))]
+
+
+def test_a_table_is_written_as_its_last_step_leaves_it(spark, scratch):
+    from sparkmart.sources.tables import materialize
+
+    written = materialize(spark.range(30, numPartitions=3), "thirty", "table", scratch("thirty"))
+    assert len(written.inputFiles()) == 3 and written.count() == 30
+
+
+def test_lines_meet_products_before_they_carry_the_keys_of_their_orders(spark):
+    from sparkmart.plans import facts
+    from sparkmart.sources.schemas import RAW_SCHEMAS
+
+    lines, orders = (spark.createDataFrame([], RAW_SCHEMAS[e]).withColumnRenamed("id", k) for e, k in (("order_items", "order_item_id"), ("orders", "order_id")))
+    dim = lambda name: spark.createDataFrame([], f"{name}_id string, {name}_key string, valid_to timestamp_ntz")
+    fact = facts.fct_sales(lines, orders, dim("customer"), dim("product"), dim("store"), dim("employee"))
+    joins = [line for line in fact._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in line]
+    assert "order_id" in joins[0] and "product_id" in joins[1]
