@@ -44,8 +44,9 @@ def fct_sales(
     ties = ["order_id", "product_id", "quantity", "unit_price", "created_at"]
     lines = dedup_latest(order_items, ["order_item_id"], "updated_at", ties)
     keys = order_keys(orders, customers, stores, employees)
-    keyed = lookup(lines, keys, "order_id", ["customer_key", "store_key", "employee_key"])
-    keyed = lookup_current(keyed, products, "product_id", ["product_key"])
+    # Products first: where they are too many to broadcast, the lines are shuffled without the keys of their orders.
+    keyed = lookup_current(lines, products, "product_id", ["product_key"])
+    keyed = lookup(keyed, keys, "order_id", ["customer_key", "store_key", "employee_key"])
     return keyed.select(
         md5_key("order_item_id").alias("sales_key"),
         "order_item_id", "order_id",
