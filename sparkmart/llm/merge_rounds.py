@@ -17,6 +17,8 @@ import numpy as np
 NEVER = np.int32(2**31 - 1)
 #: Words of more symbols are merged one at a time: a round costs what the word is long.
 LONG_WORD = 256
+#: Characters per word of its limit that a table of words holds at most.
+WORD_CHARS = 16
 _SHIFT = np.int64(22)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -142,10 +144,11 @@ class WordTable(dict):
     """word -> code, and per code its ids; distinct words are encoded once, slice by slice.
 
     ``encode(words) -> (flat ids, ids per word)``.  The table is emptied when it holds
-    ``limit`` words, so a worker's memory stays bounded; results do not depend on it.
+    ``limit`` words, or ``WORD_CHARS`` times as many characters, so a worker's memory stays
+    bounded, also while it idles beside later stages; results do not depend on it.
     """
 
-    def __init__(self, encode, limit: int = 1_000_000):
+    def __init__(self, encode, limit: int = 250_000):
         super().__init__()
         self.encode, self.limit = encode, limit
         self._empty()
@@ -153,6 +156,7 @@ class WordTable(dict):
     def _empty(self) -> None:
         self.clear()
         self.fresh: list[str] = []
+        self.chars = 0
         self.ids, self.counts, self.starts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def __missing__(self, word: str) -> int:
@@ -162,12 +166,13 @@ class WordTable(dict):
 
     def codes(self, lists: list[list[str]]) -> list[np.ndarray]:
         """The codes of each list's words; every word of them is encoded afterwards."""
-        if len(self) > self.limit:
+        if len(self) > self.limit or self.chars > WORD_CHARS * self.limit:
             self._empty()
         get = self.__getitem__
         found = [np.fromiter(map(get, words), np.int32, len(words)) for words in lists]
         if self.fresh:
             ids, counts = self.encode(self.fresh)
+            self.chars += sum(map(len, self.fresh))
             self.fresh = []
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
             self.starts = np.cumsum(self.counts) - self.counts

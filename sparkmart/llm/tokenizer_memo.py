@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -28,11 +29,18 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-def _library(path: str, words: list[str]) -> list[list[int]]:
-    return [e.ids for e in load(path).encode_batch_fast(words, add_special_tokens=False)]
+#: Words that go to the library at once: its results are many times as large as their ids.
+BATCH_WORDS = 4096
 
 
-def _flat(rows: list) -> tuple[np.ndarray, np.ndarray]:
+def _library(path: str, words: list[str]) -> Iterator[np.ndarray]:
+    for at in range(0, len(words), BATCH_WORDS):
+        for found in load(path).encode_batch_fast(words[at : at + BATCH_WORDS], add_special_tokens=False):
+            yield np.asarray(found.ids, np.int32)
+
+
+def _flat(rows: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    rows = list(rows)
     counts = np.fromiter(map(len, rows), np.int64, len(rows))
     return np.concatenate([np.asarray(r, np.int32) for r in rows] or [np.empty(0, np.int32)]), counts
 
@@ -46,8 +54,7 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 @lru_cache(2)
 def _byte_words(path: str) -> WordTable:
     def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        counts = [len(e) for e in load(path).encode_batch_fast(new, add_special_tokens=False)]
-        return np.empty(0, np.int32), np.array(counts, np.int64)
+        return np.empty(0, np.int32), np.fromiter(map(len, _library(path, new)), np.int64, len(new))
 
     return WordTable(encode)
 
@@ -65,7 +72,7 @@ def byte_token_counts(path: str, texts: list[str]) -> list[int]:
     codes = table.codes([[] if i in whole else _CHUNK.findall(text) for i, text in enumerate(texts)])
     counts = [int(table.counts[c].sum()) for c in codes]
     for i in odd:
-        counts[i] = len(_library(path, [texts[i]])[0])
+        counts[i] = len(next(_library(path, [texts[i]])))
     return counts
 
 

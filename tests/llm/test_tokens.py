@@ -14,7 +14,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sparkmart.llm import best_fit_packing, merge_rounds, queries, sentencepieces, token_counts, tokenizer_memo
+from sparkmart.llm import best_fit_packing, common, merge_rounds, queries, sentencepieces, token_counts, tokenizer_memo
 from tests.llm.helpers import EDGE_TEXTS, frame, saved
 
 BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -73,6 +73,25 @@ def test_word_table_forgets_without_changing_results():
     assert got == [ids.tolist() for ids in sentencepieces.encode(PIECE, texts)]
 
 
+def test_word_table_holds_few_words_and_few_characters():
+    for length, words_each, most in ((8, 20_000, 280_000), (20_000, 100, 400)):
+        table, held = merge_rounds.WordTable(lambda new: (np.zeros(len(new), np.int32), np.ones(len(new), np.int64))), 0
+        for i in range(20):
+            table.codes([[f"{i * words_each + k:0{length}d}" for k in range(words_each)]])
+            held = max(held, len(table))
+        assert held <= most
+
+
+def test_tasks_take_a_batch_apart_before_it_is_a_list(spark):
+    docs = frame(spark, [None, "", *["é" * 1000] * 3000, "x" * 3_000_000, None, "end"]).coalesce(1)
+    got = common.map_texts(docs, lambda keys, texts: [(k, len(t), sum(map(len, texts)), len(texts)) for k, t in zip(keys, texts, strict=True)], "doc_id long, n long, chars long, texts long")
+    rows = got.collect()
+    assert [(r["doc_id"], r["n"]) for r in rows] == [(i, n) for i, n in enumerate([0, 0, *[1000] * 3000, 3_000_000, 0, 3])]
+    assert max(r["texts"] for r in rows) <= 502 and all(r["chars"] <= 501_000 for r in rows if r["n"] == 1000 and r["doc_id"] < 2900)
+    same = common.replace_text(docs, lambda t: t[:3]).collect()
+    assert [r["text"] for r in same] == [t and t[:3] for t in [r["text"] for r in docs.collect()]]
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(700, 16), (97, 3), (64, 1)])
 def test_spliced_counts_are_those_of_the_whole_text(chunk, overlap):
     for text in ("words and don't  stop\n\n" * 90, "y" * 700 + " z" + "é" * 400, " " * 500 + "x" + " " * 400, "a <|endoftext|>" * 120 + "\n" * 30):
