@@ -79,24 +79,17 @@ def distinct_lines(every: DataFrame, threshold: int = THRESHOLD, min_chars: int
     read, as numbers, so equal lines are folded by a hash aggregate.
     """
     measured = every.select("a", "b", "line", F.length("line").alias("n")).filter(F.col("n") >= min_chars)
-    # a stretch around each segment, long enough for all places it can have
-    stretches = []
-    for i in range(threshold + 1):
-        start, size = segment(F.col("n") - threshold, i, threshold)
-        first = F.greatest(start - threshold, F.lit(0))
-        stretches += [first.alias(f"p{i}"), F.substring(F.col("line"), first + 1, size + 4 * threshold + 2).alias(f"t{i}")]
-    near = measured.select("a", "b", "n", sketch(F.col("line"), F.col("n")).alias("sketch"), *stretches)
-    signatures = [_signature(F.col("n") - less, i, shift, threshold).alias(f"s{k}") for k, (less, i, shift) in enumerate(places(threshold))]
+    # bounds in a projection of their own: with signatures and sketch it would be a method too large to be compiled
+    bounds = [bound(F.col("n") - less, i, threshold).alias(f"p{less}_{i}") for less in range(threshold + 1) for i in range(threshold + 2)]
+    near = measured.select("a", "b", "line", "n", sketch(F.col("line"), F.col("n")).alias("sketch"), *bounds)
+    signatures = [_signature(less, i, shift).alias(f"s{k}") for k, (less, i, shift) in enumerate(places(threshold))]
     told = near.select("a", "b", "sketch", *signatures)
     return told.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in told.columns[2:]])
 
 
-def segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
-    """(start from 0, size) of segment ``i`` of a line of ``length``; the last ones are longer by one if it doesn't divide."""
-    parts = threshold + 1
-    size, rest = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    longer = F.greatest(rest - (parts - i), F.lit(0))
-    return size * i + longer, size + (rest >= parts - i).cast("int")
+def bound(length: Column, i: int, threshold: int) -> Column:
+    """Where segment ``i`` of a line of ``length`` begins, from 0; the last ones are longer by one if it doesn't divide."""
+    return F.lit(0) if i == 0 else length if i > threshold else (length * i / (threshold + 1)).cast("int")
 
 
 def places(threshold: int) -> list[tuple[int, int, int]]:
@@ -109,10 +102,10 @@ def places(threshold: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _signature(length: Column, i: int, shift: int, threshold: int) -> Column:
-    """Of the segment ``i`` of a line of ``length``, looked for ``shift`` characters further on."""
-    start, size = segment(length, i, threshold)
-    return F.xxhash64(length, F.lit(i), F.substring(F.col(f"t{i}"), start + shift - F.col(f"p{i}") + 1, size))
+def _signature(less: int, i: int, shift: int) -> Column:
+    """Of the segment ``i`` of a line shorter by ``less``, looked for ``shift`` characters further on."""
+    start, end = F.col(f"p{less}_{i}"), F.col(f"p{less}_{i + 1}")
+    return F.xxhash64(F.col("n") - less, F.lit(i), F.substring(F.col("line"), start + shift + 1, end - start))
 
 
 def _ring(count: Column, bits: int, at: int) -> Column:
@@ -130,18 +123,19 @@ def sketch(line: Column, length: Column) -> Column:
 
     Two rings differ in as many bits as their counts differ, around the ring.
     """
-    octets = F.octet_length(line)
-
-    def counts(some: list[tuple[str, int]], at: int) -> Column:
-        rings = []
+    def counts(some: list[tuple[str, int]], at: int, shorten: bool) -> Column:
+        rings, left = [], line
         for c, bits in some:
-            rings.append(_ring(octets - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), bits, at))
+            less = F.replace(left, F.lit(c), F.lit(""))
+            rings.append(_ring(F.octet_length(left) - F.octet_length(less), bits, at))
+            # what is counted is not read again
+            left = less if shorten else line
             at += bits
         return reduce(lambda x, y: x.bitwiseOR(y), rings)
 
-    # most lines hold no digit: one look in place of a count of each
-    digits = F.when(line.rlike("[0-9]"), counts(DIGITS, LENGTH_BITS)).otherwise(F.lit(0).cast("long"))
-    letters = counts(LETTERS, LENGTH_BITS + sum(bits for _, bits in DIGITS))
+    # most lines hold no digit: one look in place of a count of each; what Spark computes conditionally it doesn't share
+    digits = F.when(line.rlike("[0-9]"), counts(DIGITS, LENGTH_BITS, False)).otherwise(F.lit(0).cast("long"))
+    letters = counts(LETTERS, LENGTH_BITS + sum(bits for _, bits in DIGITS), True)
     return (length % (1 << LENGTH_BITS)).cast("long").bitwiseOR(digits).bitwiseOR(letters)
 
 
@@ -317,30 +311,35 @@ def repeated_by_words(every: DataFrame, words_each: int) -> DataFrame:
 
 
 def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(lines, ``a, b, first, links, near`` of the lines that repeat or have a link)."""
+    """(``doc_id, version, pos, a, b`` and ``a, b, first, links, near``) of the lines that repeat or have a link."""
     every = lines(docs)
     different = distinct_lines(every, threshold, min_chars)
     links = cut(line_links(every, different, threshold), "line_links")
-    places_ = every.groupBy("a", "b").agg(F.min(place()).alias("first"), F.count(F.lit(1)).alias("times"))
+    times = every.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
     ends = links.unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("a").alias("a2"), F.col("b").alias("b2")))
     linked = ends.select("a", "b").distinct()
     worded = F.lit(False)
     if words_each:
-        places_ = places_.join(repeated_by_words(every, words_each).withColumn("worded", F.lit(True)), ["a", "b"], "left")
+        times = times.join(repeated_by_words(every, words_each).withColumn("worded", F.lit(True)), ["a", "b"], "left")
         worded = F.coalesce("worded", F.lit(False))
-    told = places_.withColumn("worded", worded).join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
-    told = cut(told.filter("times > 1 OR linked OR worded"), "repeated_lines")
+    told = times.withColumn("worded", worded).join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
+    told = cut(told.filter("times > 1 OR linked OR worded").select("a", "b", "linked", "worded"), "repeated_lines")
+    # places of these lines alone are kept and ordered; documents stay where they are while the lines are few
+    told = F.broadcast(told) if told.count() <= BROADCAST_KEYS else told
+    met = cut(every.select("doc_id", "version", "pos", "a", "b").join(told, ["a", "b"]), "repeated_places")
+    told = cut(met.groupBy("a", "b", "linked", "worded").agg(F.min(place()).alias("first")), "first_places")
     firsts = told.filter("linked").select("a", "b", "first")
     later = ends.join(firsts, ["a", "b"]).join(firsts.toDF("a2", "b2", "first2"), ["a2", "b2"]).groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("links"), F.max(F.col("first2") < F.col("first")).alias("near"))
     told = told.join(later, ["a", "b"], "left")
-    return every, told.select("a", "b", "first", F.coalesce("links", F.lit(0)).alias("links"), (F.coalesce("near", F.lit(False)) | F.col("worded")).alias("near"))
+    told = told.select("a", "b", "first", F.coalesce("links", F.lit(0)).alias("links"), (F.coalesce("near", F.lit(False)) | F.col("worded")).alias("near"))
+    return met.select("doc_id", "version", "pos", "a", "b"), told
 
 
 def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> DataFrame:
     """``doc_id, version, removed`` (positions), ``n_exact, n_near, n_links`` of documents with a line to remove or a link."""
-    every, told = verdicts(docs, threshold, min_chars, words_each)
-    met = every.select("doc_id", "version", "pos", "a", "b").join(told, ["a", "b"])
+    found, told = verdicts(docs, threshold, min_chars, words_each)
+    met = found.join(told, ["a", "b"])
     exact = ~place().eqNullSafe(F.col("first"))
     marked = met.select("doc_id", "version", "pos", exact.alias("exact"), (~exact & F.col("near")).alias("near"), "links")
     gone = F.when(F.col("exact") | F.col("near"), F.col("pos"))

@@ -111,6 +111,27 @@ def test_lines_that_differ_in_a_number_are_told_apart_before_they_are_compared(s
     assert line_dedup.candidates(line_dedup.distinct_lines(line_dedup.lines(df))).count() < 0.15 * 300 * 299 / 2
 
 
+def test_signatures_and_sketch_are_methods_that_the_virtual_machine_compiles(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        different = line_dedup.distinct_lines(line_dedup.lines(frame(spark, ["a line that is long enough to be compared"])))
+        code = spark._jvm.PythonSQLUtils.explainString(different._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    # HotSpot interprets methods above 8,000 bytes of bytecode
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_only_places_of_lines_that_repeat_or_have_a_link_are_kept(spark):
+    near, other = "a line that is long enough to be near", "a line that is long enough to be neat"
+    docs = frame(spark, [f"own words here\n{near}\nshort", f"words of another\nshort\n{other}", "nothing that repeats anywhere"])
+    found, told = line_dedup.verdicts(docs)
+    assert sorted((r["doc_id"], r["pos"]) for r in found.collect()) == [(0, 1), (0, 2), (1, 1), (1, 2)]
+    assert sorted((r["first"]["doc_id"], r["first"]["pos"], r["links"], r["near"]) for r in told.collect()) == [(0, 1, 1, False), (0, 2, 0, False), (1, 2, 1, True)]
+
+
 def test_lines_with_replaced_words_go(spark):
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 10)))
