@@ -123,19 +123,19 @@ def sketch(line: Column, length: Column) -> Column:
 
     Two rings differ in as many bits as their counts differ, around the ring.
     """
-    def counts(some: list[tuple[str, int]], at: int, shorten: bool) -> Column:
-        rings, left = [], line
-        for c, bits in some:
-            less = F.replace(left, F.lit(c), F.lit(""))
-            rings.append(_ring(F.octet_length(left) - F.octet_length(less), bits, at))
-            # what is counted is not read again
-            left = less if shorten else line
-            at += bits
-        return reduce(lambda x, y: x.bitwiseOR(y), rings)
-
-    # most lines hold no digit: one look in place of a count of each; what Spark computes conditionally it doesn't share
-    digits = F.when(line.rlike("[0-9]"), counts(DIGITS, LENGTH_BITS, False)).otherwise(F.lit(0).cast("long"))
-    letters = counts(LETTERS, LENGTH_BITS + sum(bits for _, bits in DIGITS), True)
+    # what is counted is not read again: all letters go, then one look for digits, as most lines hold none
+    rings, left, at = [], line, LENGTH_BITS + sum(bits for _, bits in DIGITS)
+    for c, bits in LETTERS:
+        less = F.replace(left, F.lit(c), F.lit(""))
+        rings.append(_ring(F.octet_length(left) - F.octet_length(less), bits, at))
+        left, at = less, at + bits
+    numbers, at = [], LENGTH_BITS
+    for c, bits in DIGITS:
+        numbers.append(_ring(F.octet_length(left) - F.octet_length(F.replace(left, F.lit(c), F.lit(""))), bits, at))
+        at += bits
+    either = lambda x, y: x.bitwiseOR(y)
+    digits = F.when(left.rlike("[0-9]"), reduce(either, numbers)).otherwise(F.lit(0).cast("long"))
+    letters = reduce(either, rings)
     return (length % (1 << LENGTH_BITS)).cast("long").bitwiseOR(digits).bitwiseOR(letters)
 
 
@@ -212,20 +212,31 @@ def candidates(different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return asks.join(entries, "signature").filter(near & once).select("a", "a2").distinct()
 
 
-def line_links(every: DataFrame, different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``a, b, a2, b2``: keys of different lines within ``threshold`` edits, once a pair."""
-    pairs = candidates(different, threshold).select(F.greatest("a", "a2").alias("a"), F.least("a", "a2").alias("a2")).distinct()
-    pairs = cut(pairs, "candidates")
-    wanted = cut(pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct(), "wanted")
-    # texts of the few lines that have a candidate; documents stay where they are while that is so
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
-    texts = cut(every.select("a", "b", "line").join(wanted, "a", "left_semi").groupBy("a", "b").agg(F.first("line").alias("line")), "texts")
-    met = pairs.join(texts, "a").join(texts.toDF("a2", "b2", "line2"), "a2")
+def meetings(different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """:func:`candidates` once a pair, as a table."""
+    return cut(candidates(different, threshold).select(F.greatest("a", "a2").alias("a"), F.least("a", "a2").alias("a2")).distinct(), "candidates")
+
+
+def members(pairs: DataFrame) -> DataFrame:
+    """``a`` of the lines that have a candidate."""
+    return cut(pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct(), "wanted")
+
+
+def confirmed(pairs: DataFrame, met: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``a, b, a2, b2`` of the ``pairs`` within ``threshold`` edits; ``met`` has ``a, b, line`` of their members, any number of times."""
+    texts = cut(met.groupBy("a", "b").agg(F.first("line").alias("line")), "texts")
+    both = pairs.join(texts, "a").join(texts.toDF("a2", "b2", "line2"), "a2")
     longer = F.length("line") >= F.length("line2")
-    ordered = met.select("a", "b", "a2", "b2", F.when(longer, F.col("line")).otherwise(F.col("line2")).alias("x"), F.when(longer, F.col("line2")).otherwise(F.col("line")).alias("y"))
+    ordered = both.select("a", "b", "a2", "b2", F.when(longer, F.col("line")).otherwise(F.col("line2")).alias("x"), F.when(longer, F.col("line2")).otherwise(F.col("line")).alias("y"))
     return ordered.filter(within_distance(F.col("x"), F.col("y"), threshold)).select("a", "b", "a2", "b2")
 
 
+def line_links(every: DataFrame, different: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``a, b, a2, b2``: keys of different lines within ``threshold`` edits, once a pair."""
+    pairs = meetings(different, threshold)
+    return confirmed(pairs, every.select("a", "b", "line").join(members(pairs), "a", "left_semi"), threshold)
+
+
 def word_edits(n: Column, words_each: int) -> Column:
     """Edited words that make no difference, for a pair whose longer line has ``n`` words."""
     return F.ceil(n / words_each).cast("int")
@@ -311,23 +322,27 @@ def repeated_by_words(every: DataFrame, words_each: int) -> DataFrame:
 
 
 def verdicts(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, words_each: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id, version, pos, a, b`` and ``a, b, first, links, near``) of the lines that repeat or have a link."""
+    """(``doc_id, version, pos, a, b`` of lines that repeat or have a candidate, ``a, b, first, links, near`` of those that repeat or have a link)."""
     every = lines(docs)
-    different = distinct_lines(every, threshold, min_chars)
-    links = cut(line_links(every, different, threshold), "line_links")
+    pairs = meetings(distinct_lines(every, threshold, min_chars), threshold)
     times = every.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
-    ends = links.unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("a").alias("a2"), F.col("b").alias("b2")))
-    linked = ends.select("a", "b").distinct()
     worded = F.lit(False)
     if words_each:
         times = times.join(repeated_by_words(every, words_each).withColumn("worded", F.lit(True)), ["a", "b"], "left")
         worded = F.coalesce("worded", F.lit(False))
-    told = times.withColumn("worded", worded).join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
-    told = cut(told.filter("times > 1 OR linked OR worded").select("a", "b", "linked", "worded"), "repeated_lines")
-    # places of these lines alone are kept and ordered; documents stay where they are while the lines are few
-    told = F.broadcast(told) if told.count() <= BROADCAST_KEYS else told
-    met = cut(every.select("doc_id", "version", "pos", "a", "b").join(told, ["a", "b"]), "repeated_places")
-    told = cut(met.groupBy("a", "b", "linked", "worded").agg(F.min(place()).alias("first")), "first_places")
+    wanted = members(pairs)
+    wanted = (F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted).withColumn("wanted", F.lit(True))
+    asked = times.withColumn("worded", worded).join(wanted, "a", "left")
+    asked = cut(asked.filter("times > 1 OR wanted OR worded").select("a", "b", "worded", (F.col("times") > 1).alias("repeated"), F.coalesce("wanted", F.lit(False)).alias("wanted")), "asked")
+    # places of these lines alone are kept, texts of those with a candidate; documents stay where they are while the lines are few
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_KEYS else asked
+    line = F.when(F.col("wanted"), F.col("line")).alias("line")
+    met = cut(every.join(asked, ["a", "b"]).select("doc_id", "version", "pos", "a", "b", "worded", "repeated", "wanted", line), "places")
+    links = cut(confirmed(pairs, met.filter("wanted"), threshold), "line_links")
+    ends = links.unionByName(links.select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("a").alias("a2"), F.col("b").alias("b2")))
+    linked = ends.select("a", "b").distinct().withColumn("linked", F.lit(True))
+    told = met.groupBy("a", "b", "worded", "repeated").agg(F.min(place()).alias("first")).join(linked, ["a", "b"], "left")
+    told = cut(told.filter("repeated OR linked OR worded"), "first_places")
     firsts = told.filter("linked").select("a", "b", "first")
     later = ends.join(firsts, ["a", "b"]).join(firsts.toDF("a2", "b2", "first2"), ["a2", "b2"]).groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("links"), F.max(F.col("first2") < F.col("first")).alias("near"))
