@@ -12,9 +12,10 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 from sparkmart.llm.merge_rounds import PairTable, WordTable, gather, merge_words
@@ -78,14 +79,72 @@ def byte_token_counts(path: str, texts: list[str]) -> list[int]:
 
 # -- BPE with word ends: white space is dropped -----------------------------------------
 
-#: The splitting pattern of word_bpe_49k.json.
-_WORD_PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Characters that are their own composed form and whose lower case is one character.
-_PLAIN = re.compile(r"[!-~¡-į]*")
+#: The splitting pattern of word_bpe_49k.json cuts behind these, wherever a part begins with them.
+_ENDINGS = {2: [b"'s", b"'t", b"'m", b"'d"], 3: [b"'re", b"'ve", b"'ll"]}
+#: Where words end, and how many characters of a text are taken apart at once.
+_BREAK = re.compile(r"[ \n]")
+PIECE_CHARS = 1_000_000
+#: Kinds of characters: what stands between words, what the pattern tells apart, and what is left to the library.
+_BLANK, _LETTER, _NUMBER, _SIGN, _ODD = range(5)
+#: Kind and lower case by code point.  None is odd that is its own composed form and has a lower case of one character.
+_KIND, _LOWER = np.full(0x140, _ODD, np.uint8), np.arange(0x140)
+for _c in chain(range(0x21, 0x7F), range(0xA1, 0x130)):
+    _KIND[_c] = _LETTER if regex.match(r"\p{L}", chr(_c)) else _NUMBER if regex.match(r"\p{N}", chr(_c)) else _SIGN
+    _LOWER[_c] = ord(chr(_c).lower())
+_KIND[[10, 32]] = _BLANK
+#: The same by byte, for ``bytes.translate``; bytes of longer characters are looked at apart.
+_BYTE_KIND = bytes(_KIND[:128]) + bytes([_ODD] * 128)
+_BYTE_LOWER = bytes(_LOWER[:128].tolist()) + bytes(range(128, 256))
+
+
+def split_words(texts: list[str]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The parts of all words in lower case, text behind text, and where each text begins in them, with the last one's end.
+
+    Parts are those of the splitting pattern.  A word with an odd character or what may be a
+    special string is one part, as it is written; the blank before it tells it from the others.
+    """
+    raw = [text.encode() for text in texts]
+    data = b"\n".join([b"", *raw, b"\n"])
+    plain = np.frombuffer(data, np.uint8)
+    low, kind = (np.frombuffer(bytearray(data).translate(t), np.uint8) for t in (_BYTE_LOWER, _BYTE_KIND))
+    lead = np.flatnonzero((plain >= 0xC2) & (plain <= 0xC4))
+    point = ((plain[lead] & 31).astype(np.int64) << 6) | (plain[lead + 1] & 63)
+    kind[lead] = kind[lead + 1] = _KIND[point]
+    low[lead], low[lead + 1] = 0xC0 | (_LOWER[point] >> 6), 0x80 | (_LOWER[point] & 63)
+
+    filled = kind != _BLANK
+    start = kind == _NUMBER
+    start[1:] |= kind[1:] != kind[:-1]
+    start &= filled
+    start[lead + 1] = False
+    quote = np.flatnonzero(low == ord("'"))
+    quote = quote[start[quote]]
+    for size, endings in _ENDINGS.items():
+        letters = [low[quote + k] for k in range(1, size)]
+        for ending in endings:
+            at = quote[np.logical_and.reduce([own == c for own, c in zip(letters, ending[1:], strict=True)])]
+            start[at + 1] = False
+            start[at + size] = filled[at + size]
+
+    odd = np.flatnonzero((kind == _ODD) | ((plain == ord("<")) & (np.r_[plain[1:], 0] == ord("|"))))
+    if len(odd):
+        begin, end = (np.flatnonzero(np.diff(filled.view(np.int8)) == d) + 1 for d in (1, -1))
+        word = np.unique(np.searchsorted(begin, odd, side="right") - 1)
+        edge = np.zeros(len(plain), np.int8)
+        edge[begin[word]], edge[end[word]] = 1, -1
+        inside = np.cumsum(edge, dtype=np.int8).view(bool)
+        start[inside], low[inside] = False, plain[inside]
+        before = begin[word] - 1
+        start[before], filled[before], low[before] = True, True, ord(" ")
+
+    flat, places = low[filled], np.flatnonzero(start)
+    offsets = np.r_[np.flatnonzero(start[filled]), len(flat)].astype(np.int32)
+    parts = pa.BinaryArray.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+    return parts, np.searchsorted(places, np.cumsum([0, *(len(r) + 1 for r in raw)]))
 
 
 class _WordBpe:
-    """Merges of plain words (lower case, one part of the splitting pattern each)."""
+    """Merges of the parts of words; those the library has to encode begin with a blank."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -93,51 +152,61 @@ class _WordBpe:
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         merges = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
         left, right = (np.array([vocab[pair[k]] for pair in merges]) for k in (0, 1))
-        self.pairs = PairTable(left, right, np.arange(len(merges)), [vocab[a + b] for a, b in merges])
+        self.path, self.pairs = path, PairTable(left, right, np.arange(len(merges)), [vocab[a + b] for a, b in merges])
         # byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         letter = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(own)))}
         self.inner = np.array([vocab[letter[b]] for b in range(256)], np.int32)
         self.last = np.array([vocab[letter[b] + end] for b in range(256)], np.int32)
 
-    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        data = [part.encode() for part in parts]
-        counts = np.fromiter(map(len, data), np.int64, len(data))
-        flat = np.frombuffer(b"".join(data), np.uint8)
+    def merge(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = np.frombuffer(b"".join(parts), np.uint8)
         symbols, ends = self.inner[flat], np.cumsum(counts) - 1
         symbols[ends] = self.last[flat[ends]]
         return merge_words(symbols, counts, self.pairs)
 
+    def encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        odd = [part[1:].decode() for part in parts if part[0] == 32]
+        if not odd:
+            return self.merge(parts)
+        found = [self.merge([part for part in parts if part[0] != 32]), _flat(_library(self.path, odd))]
+        flat, sizes = (np.concatenate(both) for both in zip(*found, strict=True))
+        place = np.argsort([part[0] == 32 for part in parts], kind="stable")
+        starts, counts = np.empty_like(sizes), np.empty_like(sizes)
+        starts[place], counts[place] = np.cumsum(sizes) - sizes, sizes
+        return gather(flat, starts, counts, np.arange(len(parts))), counts
+
 
 @lru_cache(2)
 def _parts(path: str) -> WordTable:
     return WordTable(_WordBpe(path).encode)
 
 
-@lru_cache(2)
-def _words(path: str) -> WordTable:
-    """White-space separated words; one of plain letters is taken apart, and its parts are looked up."""
-
-    def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.array([bool(_PLAIN.fullmatch(w)) and "<|" not in w for w in new])
-        lists = [_WORD_PART.findall(w.lower()) for w, p in zip(new, plain, strict=True) if p]
-        table = _parts(path)
-        (codes,) = table.codes([list(chain.from_iterable(lists))])
-        word = np.repeat(np.arange(len(lists)), np.fromiter(map(len, lists), np.int64, len(lists)))
-        odd_ids, odd_counts = _flat(_library(path, [w for w, p in zip(new, plain, strict=True) if not p]))
-        counts = np.empty(len(new), np.int64)
-        counts[plain] = np.bincount(word, table.counts[codes], len(lists)) if len(lists) else 0
-        counts[~plain] = odd_counts
-        flat = np.concatenate([table.ids_of(codes), odd_ids])
-        order = np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
-        starts = np.empty(len(new), np.int64)
-        starts[order] = np.cumsum(counts[order]) - counts[order]
-        return gather(flat, starts, counts, np.arange(len(new))), counts
-
-    return WordTable(encode)
-
-
 def word_token_ids(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Token ids per text of a BPE that drops white space."""
-    table = _words(path)
-    return [table.ids_of(codes) for codes in table.codes([text.replace("\n", " ").split(" ") for text in texts])]
+    """Token ids per text of a BPE that drops white space; a very long text goes by pieces cut at white space."""
+    short = iter(_token_ids(path, [text for text in texts if len(text) <= PIECE_CHARS]))
+    return [
+        next(short) if len(text) <= PIECE_CHARS else np.concatenate([_token_ids(path, [piece])[0] for piece in _pieces(text)])
+        for text in texts
+    ]
+
+
+def _pieces(text: str) -> Iterator[str]:
+    at = 0
+    while at < len(text):
+        cut = _BREAK.search(text, at + PIECE_CHARS)
+        end = cut.end() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
+def _token_ids(path: str, texts: list[str]) -> list[np.ndarray]:
+    """Each distinct part of the texts is looked up once."""
+    parts, heads = split_words(texts)
+    seen = parts.dictionary_encode()
+    table = _parts(path)
+    (known,) = table.codes([seen.dictionary.to_numpy(zero_copy_only=False).tolist()])
+    codes = known[seen.indices.to_numpy()]
+    ids, ends = table.ids_of(codes), np.r_[0, np.cumsum(table.counts[codes])][heads].tolist()
+    return [ids[a:b] for a, b in pairwise(ends)]

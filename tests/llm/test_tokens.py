@@ -45,6 +45,34 @@ def test_any_text_is_encoded_as_by_the_libraries(text):
     assert tokenizer_memo.byte_token_counts(BYTE, [text]) == [len(load(BYTE).encode(text, add_special_tokens=False).ids)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("'sStTrReEvVlLmMdD ÀÞ×ÿĮµ²½12!\"<|日\u0301\u00a0\t\n"), max_size=40), max_size=5))
+def test_words_are_taken_apart_as_by_the_library(texts):
+    got = [ids.tolist() for ids in tokenizer_memo.word_token_ids(WORD, texts)]
+    assert got == [tokenizer_memo.load(WORD).encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_a_long_text_is_taken_apart_by_pieces(monkeypatch):
+    text = "I'll  say\n\n" + "it's 日本 <|endoftext|> two-fold Ÿ² " * 40 + "x" * 300 + " end"
+    (whole,) = tokenizer_memo.word_token_ids(WORD, [text])
+    sizes, plain = [], tokenizer_memo.split_words
+    monkeypatch.setattr(tokenizer_memo, "split_words", lambda texts: sizes.extend(map(len, texts)) or plain(texts))
+    monkeypatch.setattr(tokenizer_memo, "PIECE_CHARS", 50)
+    got = tokenizer_memo.word_token_ids(WORD, ["short", text, ""])
+    assert [ids.tolist() for ids in got[1:]] == [whole.tolist(), []]
+    assert len(sizes) > 10 and max(sizes) < 400
+    assert whole.tolist() == tokenizer_memo.load(WORD).encode(text, add_special_tokens=False).ids
+
+
+def test_repeated_words_are_looked_up_once(monkeypatch):
+    handed, plain = [], merge_rounds.WordTable.codes
+    monkeypatch.setattr(merge_rounds.WordTable, "codes", lambda self, lists: handed.extend(map(len, lists)) or plain(self, lists))
+    texts = ["Some words, 'some' words; and odd 日本 ones.\n" * 2000, "words " * 2000]
+    got = tokenizer_memo.word_token_ids(WORD, texts)
+    assert sum(handed) < 20
+    assert [ids.tolist() for ids in got] == [tokenizer_memo.load(WORD).encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_merge_rounds_equal_one_at_a_time_merging():
     rng = random.Random(3)
     pairs = {(a, b): (rng.randrange(40), 8 + k) for k, (a, b) in enumerate([(rng.randrange(12), rng.randrange(12)) for _ in range(40)])}
