@@ -119,3 +119,10 @@ def test_utc_ntz_does_not_depend_on_the_session_zone(spark):
 def test_struct_reads_types():
     schema = fn.struct("a string, b decimal(12,2), c timestamp_ntz")
     assert schema["b"].dataType == T.DecimalType(12, 2) and schema["c"].dataType == T.TimestampNTZType()
+
+
+def test_packed_keys_are_half_as_long_and_come_back(spark):
+    keys = [None, "", "k1", "ab", "AB", "abc", "0a1b", "d41d8cd98f00b204e9800998ecf8427e", "\u00e9", "\x01", "zz"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", fn.pack_key("k").alias("p"))
+    got = {r.k: (r.p, r.u) for r in df.select("k", "p", fn.unpack_key("p").alias("u")).collect()}
+    assert all(got[k][1] == k for k in keys) and len(got[keys[7]][0]) == 17
